@@ -70,7 +70,7 @@ def blocks(
         return Blocks(df, list(group), list(order))
     size = max(block_rows, overlap)
     keys = [*group, *order]
-    ranks = rank(df.select(*keys), group, order, _RANK, block_rows)
+    ranks = _rank_in_cells(df.select(*keys), group, order, _RANK, block_rows)
     at = F.col(_RANK) - 1
     own = F.floor(at / size)
     copies = F.when(
@@ -91,10 +91,19 @@ def rank(
     name: str,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Add the 1-based position of each row in its group (``group=[]``: overall)."""
+    """Add the 1-based position of each row in its group (``group=[]``: overall).
+
+    ``group + order`` must identify a row.
+    """
     if not has_hot_group(df, group, block_rows):
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("long"))
+    ids = [*group, *order]
+    ranks = _rank_in_cells(df.select(*ids), group, order, name, block_rows)
+    return ranks if set(df.columns) == set(ids) else df.join(ranks, ids)
+
+
+def _rank_in_cells(df, group, order, name, block_rows):
     celled, group, cells = _cells(df, group, order, block_rows)
     keys = [*group, *cells]
     earlier = (

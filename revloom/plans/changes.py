@@ -29,7 +29,8 @@ def plaintext_diff(spark, sf):
 
 def diff_text(spark, sf):
     chain = views.chain(spark, sf)
-    return diff.diff_text(chain, GROUP, ORDER, "content", "diff_text", max_group_rows=CHAIN_LENGTH)
+    texts = {"diff_text": "content"}
+    return diff.diff_text(chain, GROUP, ORDER, texts, max_group_rows=CHAIN_LENGTH)
 
 
 def diff_summary(spark, sf):
