@@ -1,2 +1,218 @@
-QUERIES = {}
-ORACLE = {}
+"""Queries over classifiers, embeddings and their evaluation."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import Word2VecModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from revloom.operators import bayes, evaluate, features, models, split, tokens
+from revloom.plans import views
+from revloom.plans.features import LABELLED_SQL, tf_sql
+from revloom.session import scratch_path
+from revloom.sources import store
+
+LONG_TEXT = 1_000
+
+
+def _labelled(spark, sf):
+    """(doc_id, text, label, split) of the labelled documents."""
+    docs = views.table(spark, sf, "documents").select("doc_id", "text")
+    labels = views.table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return split.holdout_split(docs.join(labels, "doc_id"), "doc_id")
+
+
+def _part(docs, name):
+    return docs.where(F.col("split") == name)
+
+
+def _count(train):
+    tf = features.term_counts(train, "doc_id", "text", 1, 2, keep=["label"])
+    return bayes.count(tf, train, "label")
+
+
+def _fitted(spark, sf):
+    return _count(_part(_labelled(spark, sf), "train"))
+
+
+def _rounded_model(counts):
+    return bayes.model(counts).select(
+        "label",
+        "term",
+        F.round("log_prob", 6).alias("log_prob"),
+        F.round("log_prior", 6).alias("log_prior"),
+    )
+
+
+def nb_model(spark, sf):
+    return _rounded_model(_fitted(spark, sf))
+
+
+def nb_incremental(spark, sf):
+    """Two shards counted apart and added up."""
+    train = _part(_labelled(spark, sf), "train")
+    parts = [_count(train.where(F.col("doc_id") % 2 == shard)) for shard in (0, 1)]
+    return _rounded_model(bayes.add(parts))
+
+
+def _predicted(spark, sf):
+    test = _part(_labelled(spark, sf), "test")
+    tf = features.term_counts(test, "doc_id", "text", 1, 2)
+    truth = test.select("doc_id", "label")
+    return bayes.predict(_fitted(spark, sf), tf, truth, "doc_id")
+
+
+def nb_predict(spark, sf):
+    return _predicted(spark, sf).withColumn("margin", F.round("margin", 4))
+
+
+def _evaluated(spark, sf):
+    """Two models: naive Bayes on toxic, and a length rule on quality."""
+    docs = views.table(spark, sf, "documents").select("doc_id", "n_chars")
+    quality = docs.join(views.table(spark, sf, "labels"), "doc_id")
+    rule = evaluate.threshold(quality, "n_chars", LONG_TEXT)
+    return evaluate.predictions(
+        _predicted(spark, sf), "naive bayes", "label", "prediction"
+    ).unionByName(evaluate.predictions(rule, "length rule", "quality", "prediction"))
+
+
+def confusion(spark, sf):
+    return evaluate.confusion(_evaluated(spark, sf))
+
+
+def metrics(spark, sf):
+    return evaluate.metrics(evaluate.confusion(_evaluated(spark, sf)))
+
+
+def _vectors(spark, sf, high):
+    docs = _labelled(spark, sf)
+    return models.with_terms(docs, "text", 1, high)
+
+
+def _transformed(model, docs):
+    return model.transform(_part(docs, "test")).select(
+        "doc_id", "label", F.col("prediction").cast("int").alias("prediction")
+    )
+
+
+def nb_ml(spark, sf):
+    docs = _vectors(spark, sf, 2)
+    return _transformed(models.fit_bayes(_part(docs, "train")), docs)
+
+
+def linear_svm(spark, sf):
+    docs = _vectors(spark, sf, 2)
+    return _transformed(models.fit_linear(_part(docs, "train")), docs)
+
+
+def mlp_classifier(spark, sf):
+    docs = split.seeded_split(_labelled(spark, sf).drop("split"), "doc_id")
+    docs = models.with_terms(docs, "text")
+    model = models.fit_net(_part(docs, "train"))
+    scored = models.positive_score(model.transform(_part(docs, "test")).drop("prediction"))
+    return evaluate.threshold(scored, "score").select("doc_id", "label", "score", "prediction")
+
+
+def doc_embedding(spark, sf):
+    """Fit, save, load and apply; fewer passes than the default of fit_embedding."""
+    docs = views.table(spark, sf, "documents")
+    tagged = tokens.tagged(docs, "doc_id", "text", "word").select("doc_id", "tag", "words")
+    path = scratch_path(spark, "embedding")
+    store.save_model(models.fit_embedding(tagged, passes=2), path)
+    embedded = models.embed(Word2VecModel.load(path), tagged)
+    numbers = vector_to_array("vector")
+    squares = F.aggregate(numbers, F.lit(0.0), lambda total, x: total + x * x)
+    return embedded.select(
+        "doc_id", F.size(numbers).alias("dimensions"), F.sqrt(squares).alias("length")
+    )
+
+
+def model_report(spark, sf):
+    return evaluate.report(
+        [
+            evaluate.predictions(df, name, "label", "prediction")
+            for name, df in (
+                ("naive bayes", _predicted(spark, sf)),
+                ("linear", linear_svm(spark, sf)),
+            )
+        ]
+    )
+
+
+QUERIES = {
+    "nb_model": nb_model,
+    "nb_incremental": nb_incremental,
+    "nb_predict": nb_predict,
+    "nb_ml": nb_ml,
+    "linear_svm": linear_svm,
+    "doc_embedding": doc_embedding,
+    "mlp_classifier": mlp_classifier,
+    "confusion": confusion,
+    "metrics": metrics,
+    "model_report": model_report,
+}
+
+# --- SQL -------------------------------------------------------------------------
+
+_MODEL_SQL = [
+    LABELLED_SQL,
+    tf_sql("tf", "docs", "doc_id, label, split", 2),
+    "classes AS (SELECT label, ln(count(*) / (SELECT count(*) FROM docs WHERE split = 'train'))"
+    " AS log_prior FROM docs WHERE split = 'train' GROUP BY label)",
+    "vocab AS (SELECT DISTINCT term FROM tf WHERE split = 'train')",
+    "n AS (SELECT label, term, sum(tf) AS n FROM tf WHERE split = 'train' GROUP BY ALL)",
+    """model AS (
+  SELECT c.label, v.term, c.log_prior, ln((coalesce(n.n, 0) + 1)
+      / (t.tokens + (SELECT count(*) FROM vocab))) AS log_prob
+  FROM classes c CROSS JOIN vocab v
+  JOIN (SELECT label, sum(n) AS tokens FROM n GROUP BY label) t ON t.label = c.label
+  LEFT JOIN n ON n.label = c.label AND n.term = v.term)""",
+]
+_PREDICT_SQL = [
+    *_MODEL_SQL,
+    """scores AS (
+  SELECT d.doc_id, d.label AS truth, c.label, c.log_prior + coalesce(s.s, 0) AS score
+  FROM docs d CROSS JOIN classes c
+  LEFT JOIN (SELECT tf.doc_id, m.label, sum(tf.tf * m.log_prob) AS s
+             FROM tf JOIN model m USING (term) WHERE split = 'test' GROUP BY ALL) s
+    ON s.doc_id = d.doc_id AND s.label = c.label
+  WHERE d.split = 'test')""",
+    """predicted AS (
+  SELECT doc_id, any_value(truth) AS label,
+    CASE WHEN max(score) FILTER (label = 1) > max(score) FILTER (label = 0)
+      THEN 1 ELSE 0 END AS prediction,
+    max(score) - min(score) AS margin
+  FROM scores GROUP BY doc_id)""",
+]
+_EVALUATED_SQL = [
+    *_PREDICT_SQL,
+    f"""judged AS (
+  SELECT 'naive bayes' AS model, label AS truth, prediction FROM predicted
+  UNION ALL
+  SELECT 'length rule', quality, CAST(n_chars > {LONG_TEXT} AS INTEGER)
+  FROM documents JOIN labels USING (doc_id))""",
+    """counts AS (
+  SELECT model, count(*) FILTER (truth = 1 AND prediction = 1) AS tp,
+    count(*) FILTER (truth = 0 AND prediction = 1) AS fp,
+    count(*) FILTER (truth = 0 AND prediction = 0) AS tn,
+    count(*) FILTER (truth = 1 AND prediction = 0) AS fn
+  FROM judged GROUP BY model)""",
+]
+_ROUNDED_MODEL_SQL = views.with_sql(*_MODEL_SQL) + (
+    "SELECT label, term, round(log_prob, 6) AS log_prob, round(log_prior, 6) AS log_prior FROM model"
+)
+
+ORACLE = {
+    "nb_model": _ROUNDED_MODEL_SQL,
+    "nb_incremental": _ROUNDED_MODEL_SQL,
+    "nb_predict": views.with_sql(*_PREDICT_SQL)
+    + "SELECT doc_id, label, prediction, round(margin, 4) AS margin FROM predicted",
+    "confusion": views.with_sql(*_EVALUATED_SQL) + "SELECT *, fp + fn AS mistakes FROM counts",
+    "metrics": views.with_sql(*_EVALUATED_SQL)
+    + """SELECT model, (tp + tn) / (tp + fp + tn + fn) * 100 AS accuracy,
+  tp / nullif(tp + fp, 0) * 100 AS precision, tp / nullif(tp + fn, 0) * 100 AS recall,
+  tn / nullif(tn + fp, 0) * 100 AS specificity,
+  2 * (tp / nullif(tp + fp, 0)) * (tp / nullif(tp + fn, 0))
+    / nullif(tp / nullif(tp + fp, 0) + tp / nullif(tp + fn, 0), 0) * 100 AS f1
+FROM counts""",
+}
