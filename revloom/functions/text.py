@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A segment ends after ". " or at a line break; the break itself is dropped.
@@ -62,3 +62,19 @@ def ngrams(tokens: Column, low: int, high: int) -> Column:
         if n >= low:
             parts.append(grams)
     return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def each(
+    df: DataFrame, keys: list[str], items: Column, name: str, position: str | None = None
+) -> DataFrame:
+    """One row per array element, with its position when asked.
+
+    The outer form is used because a plain explode adds a filter on the array's
+    size below it, which computes an expensive array expression once more.
+    """
+    rows = df.select(*keys, F.posexplode_outer(items).alias("_pos", name))
+    if position is None:
+        kept = rows.drop("_pos")
+    else:
+        kept = rows.withColumn(position, F.col("_pos").cast("long")).drop("_pos")
+    return kept.where(F.col(name).isNotNull())

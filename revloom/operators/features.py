@@ -16,7 +16,7 @@ def term_rows(
     """One row per n-gram occurrence."""
     tokens = df.select(*keys, tx.TOKENIZERS[tokenizer](F.col(text)).alias("_tokens"))
     grams = F.col("_tokens") if high == 1 else tx.ngrams(F.col("_tokens"), low, high)
-    return tokens.select(*keys, F.explode(grams).alias("term"))
+    return tx.each(tokens, keys, grams, "term")
 
 
 def term_counts(
@@ -59,7 +59,7 @@ def indexed_vocabulary(tf: DataFrame, block_rows: int = ordered.BLOCK_ROWS) -> D
     It is written first: ranking reads it several times.
     """
     stored = written(vocabulary(tf), "vocabulary")
-    ranked = ordered.rank(stored, [], ["term"], "_rank", block_rows)
+    ranked = ordered.rank(stored, [], ["term"], "_rank", block_rows, narrow=True)
     return ranked.withColumn("term_index", F.col("_rank") - 1).drop("_rank")
 
 
@@ -110,17 +110,20 @@ def scale(tf: DataFrame, stds: DataFrame, by: list[str] | None = None) -> DataFr
 
 def profile(docs: DataFrame, tf: DataFrame, label: str, split: str) -> DataFrame:
     """One row: documents, positives, set sizes, vocabulary size and matrix cells."""
-    of_docs = docs.agg(
-        F.count(F.lit(1)).alias("docs"),
-        F.sum(label).alias("positives"),
-        F.count_if(F.col(split) == "train").alias("train_docs"),
-        F.count_if(F.col(split) == "test").alias("test_docs"),
-    )
     vocab = vocabulary(tf).agg(
-        F.count(F.lit(1)).alias("terms"),
-        F.sum("df").alias("nonzero"),
-        F.sum("tf").alias("tokens"),
+        F.struct(
+            F.count(F.lit(1)).alias("terms"),
+            F.sum("df").alias("nonzero"),
+            F.sum("tf").alias("tokens"),
+        )
+    )
+    return (
+        docs.agg(
+            F.count(F.lit(1)).alias("docs"),
+            F.sum(label).alias("positives"),
+            F.count_if(F.col(split) == "train").alias("train_docs"),
+            F.count_if(F.col(split) == "test").alias("test_docs"),
+        )
+        .withColumn("_terms", vocab.scalar())
+        .select("docs", "positives", "train_docs", "test_docs", "_terms.*")
     )
-    # two single-row aggregates, matched on a constant
-    one = F.lit(1).alias("_one")
-    return of_docs.select("*", one).join(vocab.select("*", one), "_one").drop("_one")

@@ -21,7 +21,7 @@ BROADCAST_GROUPS = 100_000
 # Each level cuts a hot cell into many smaller ones; see _cells.
 LEVELS = 8
 
-_ALL, _BLOCK, _CONTEXT, _RANK = "_all", "_block", "_context", "_rank"
+_BLOCK, _CONTEXT, _RANK = "_block", "_context", "_rank"
 
 
 @dataclass(frozen=True)
@@ -90,21 +90,24 @@ def rank(
     order: list[str],
     name: str,
     block_rows: int = BLOCK_ROWS,
+    narrow: bool = False,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group (``group=[]``: overall).
 
-    ``group + order`` must identify a row.
+    ``group + order`` must identify a row. Hot groups are ranked by these columns
+    alone and the rest is joined back, unless the rows are ``narrow``.
     """
     if not has_hot_group(df, group, block_rows):
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("long"))
     ids = [*group, *order]
-    ranks = _rank_in_cells(df.select(*ids), group, order, name, block_rows)
-    return ranks if set(df.columns) == set(ids) else df.join(ranks, ids)
+    if narrow or set(df.columns) == set(ids):
+        return _rank_in_cells(df, group, order, name, block_rows)
+    return df.join(_rank_in_cells(df.select(*ids), group, order, name, block_rows), ids)
 
 
 def _rank_in_cells(df, group, order, name, block_rows):
-    celled, group, cells = _cells(df, group, order, block_rows)
+    celled, cells = _cells(df, group, order, block_rows)
     keys = [*group, *cells]
     earlier = (
         Window.partitionBy(*group)
@@ -122,7 +125,7 @@ def _rank_in_cells(df, group, order, name, block_rows):
         celled.withColumn("_inside", inside)
         .join(offsets, keys)
         .withColumn(name, F.col("_inside") + F.col("_offset"))
-        .drop("_inside", "_offset", _ALL, *cells)
+        .drop("_inside", "_offset", *cells)
     )
 
 
@@ -134,13 +137,12 @@ def _cells(df: DataFrame, group: list[str], order: list[str], block_rows: int):
     characters after the prefix the whole cell shares. It ends when no cell above
     the limit can be cut, that is, its rows agree in all order columns.
     """
-    if not group:
-        df, group = df.withColumn(_ALL, F.lit(0)), [_ALL]
     keys, cells = list(group), []
     for column in order:
         text = isinstance(df.schema[column].dataType, T.StringType)
+        value = F.col(column) if text else _number(df, column)
+        n, low, high = F.col("_n"), F.col("_low"), F.col("_high")
         for _ in range(LEVELS):
-            value = F.col(column) if text else _number(df, column)
             hot = (
                 df.groupBy(*keys)
                 .agg(
@@ -148,30 +150,39 @@ def _cells(df: DataFrame, group: list[str], order: list[str], block_rows: int):
                     F.min(value).alias("_low"),
                     F.max(value).alias("_high"),
                 )
-                .where((F.col("_n") > block_rows) & (F.col("_low") < F.col("_high")))
+                .where((n > block_rows) & (low < high))
             )
-            n_hot = hot.count()
-            if n_hot == 0:
-                break
-            if text:
-                hot = hot.withColumn("_skip", _shared_prefix(F.col("_low"), F.col("_high")))
-                cell = F.substr(value, F.col("_skip") + 1, F.lit(2))
-                rest = F.lit("")
-            else:
-                parts = F.ceil(F.col("_n") / block_rows) * 4
-                span = F.col("_high") - F.col("_low")
-                cell = F.floor((value - F.col("_low")) / span * parts)
-                rest = F.lit(0).cast("long")
             name = f"_cell{len(cells)}"
-            side = F.broadcast(hot) if n_hot <= BROADCAST_GROUPS else hot
-            df = (
-                df.join(side, keys, "left")
-                .withColumn(name, F.when(F.col("_n").isNull(), rest).otherwise(cell))
-                .drop("_n", "_low", "_high", "_skip")
-            )
+            if not keys:
+                # the whole table is the group: its range is one row
+                overall = hot.first()
+                if overall is None:
+                    break
+                bounds = (F.lit(overall[c]) for c in ("_n", "_low", "_high"))
+                df = df.withColumn(name, _cell(value, *bounds, text, block_rows))
+            else:
+                n_hot = hot.count()
+                if n_hot == 0:
+                    break
+                side = F.broadcast(hot) if n_hot <= BROADCAST_GROUPS else hot
+                rest = F.lit("") if text else F.lit(0).cast("long")
+                cut = _cell(value, n, low, high, text, block_rows)
+                df = (
+                    df.join(side, keys, "left")
+                    .withColumn(name, F.when(n.isNull(), rest).otherwise(cut))
+                    .drop("_n", "_low", "_high")
+                )
             cells.append(name)
             keys.append(name)
-    return df, group, cells
+    return df, cells
+
+
+def _cell(value, n, low, high, text: bool, block_rows: int) -> Column:
+    """Where a value falls within the range of its hot group."""
+    if text:
+        return F.substr(value, _shared_prefix(low, high) + 1, F.lit(2))
+    parts = F.ceil(n / block_rows) * 4
+    return F.floor((value - low) / (high - low) * parts)
 
 
 def _number(df: DataFrame, column: str) -> Column:

@@ -36,7 +36,7 @@ def case_counts(spark, sf):
 
 
 def markup_to_text(spark, sf):
-    pages = views.table(spark, sf, "pages")
+    pages = views.texts(spark, sf, "pages", "page_id", "html")
     return pages.select("page_id", plain_text(F.col("html")).alias("plain"))
 
 

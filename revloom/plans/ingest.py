@@ -188,7 +188,7 @@ _NAV = dict(start="<nav>", end="</nav>", pattern='<a href="(?:.*?)">(.*?)</a>')
 
 
 def link_extract(spark, sf):
-    html = views.table(spark, sf, "pages")
+    html = views.texts(spark, sf, "pages", "page_id", "html")
     return links.extract_titles(html, "html", ["page_id"], **_NAV)
 
 

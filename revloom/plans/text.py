@@ -11,27 +11,27 @@ from revloom.sources.pages import with_doc_index
 
 
 def segments(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.texts(spark, sf, "documents", "doc_id", "text")
     return tokens.exploded(docs, ["doc_id"], tx.segments(F.col("text")), "segment")
 
 
 def words(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.texts(spark, sf, "documents", "doc_id", "text")
     return tokens.exploded(docs, ["doc_id"], tx.words(F.col("text")), "token")
 
 
 def ngrams(spark, sf):
-    docs = views.table(spark, sf, "documents").withColumn("words", tx.words(F.col("text")))
+    docs = views.texts(spark, sf, "documents", "doc_id", "text").withColumn("words", tx.words(F.col("text")))
     return tokens.exploded(docs, ["doc_id"], tx.ngrams(F.col("words"), 1, 2), "ngram")
 
 
 def punct_tokens(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.texts(spark, sf, "documents", "doc_id", "text")
     return tokens.exploded(docs, ["doc_id"], tx.words_and_marks(F.col("text")), "token")
 
 
 def char_tokens(spark, sf):
-    items = views.table(spark, sf, "benchmark")
+    items = views.texts(spark, sf, "benchmark", "item_id", "text")
     return tokens.exploded(items, ["item_id"], tx.characters(F.col("text")), "character")
 
 

@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.functions import text as tx
+from revloom.session import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str, key: str, text: str) -> DataFrame:
+    """Key and text of a table whose texts are worked on before any shuffle."""
+    return spread(table(spark, sf, name).select(key, text), key)
+
+
 def tags(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, tags): edit tags made from the labels table."""
     odd = F.col("doc_id") % 2 == 1
@@ -56,11 +62,11 @@ def growing(df: DataFrame, page: str, text: str) -> DataFrame:
 
 
 def chain(spark: SparkSession, sf: str) -> DataFrame:
-    return growing(table(spark, sf, "documents"), "doc_id", "text")
+    return growing(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 def html_chain(spark: SparkSession, sf: str) -> DataFrame:
-    return growing(table(spark, sf, "pages"), "page_id", "html")
+    return growing(texts(spark, sf, "pages", "page_id", "html"), "page_id", "html")
 
 
 def conv(spark: SparkSession, sf: str) -> DataFrame:

@@ -52,6 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan of a few small files as many tasks as there are cores.
+
+    A scan that has enough splits, as any large table does, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of ``df``: write it as Parquet to the shared folder and
     read it back. It survives lost executors and keeps column pruning."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revloom.functions.text import each
+
 # The list's markers and link form on the wiki's index page.
 START, END = "Architecture and archaeology", "Cleanup listing"
 TITLE_LINK = '<a href="/wiki/(?:.*?)" title="(.*?)">'
@@ -28,9 +30,7 @@ def extract_titles(
 ) -> DataFrame:
     """(keys, pos, title) in page order, duplicates kept, entities as they are."""
     found = F.regexp_extract_all(between(F.col(html), start, end), F.lit(pattern), F.lit(1))
-    return df.select(*keys, F.posexplode(found).alias("_pos", "title")).select(
-        *keys, F.col("_pos").cast("long").alias("pos"), "title"
-    )
+    return each(df, keys, found, "title", "pos")
 
 
 def pages_without_list(df: DataFrame, html: str, start: str = START, end: str = END) -> DataFrame:
