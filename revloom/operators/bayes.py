@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revloom.operators.features import look_up
+from revloom.session import written
+
 
 @dataclass(frozen=True)
 class Counts:
@@ -60,6 +63,13 @@ def over_vocabulary(counts: Counts, vocab: DataFrame) -> Counts:
     return Counts(terms.fillna(0), counts.docs, counts.classes)
 
 
+def fitted(counts: Counts) -> Counts:
+    """The counts as written tables, to predict with them repeatedly."""
+    return Counts(
+        written(counts.terms, "bayes-terms"), written(counts.docs, "bayes-docs"), counts.classes
+    )
+
+
 def class_table(counts: Counts, alpha: float = 1.0) -> DataFrame:
     """(label, log_prior, log_total): a row per class."""
     total = F.explode(
@@ -102,13 +112,16 @@ def predict(
     counts: Counts, tf: DataFrame, docs: DataFrame, id_col: str, alpha: float = 1.0
 ) -> DataFrame:
     """Add ``prediction`` and ``margin`` (best minus second score) to ``docs``.
+    ``counts`` should be ``fitted``.
 
     Only observed (document, term) pairs meet the model. Each document first gets
     one sum per class, to which class totals and prior are added afterwards, so
     documents without a known term still get the prior. Ties go to the lower class.
     """
-    known = tf.join(counts.terms, "term")
-    sums = known.groupBy(id_col).agg(
+    names = [_n(c) for c in counts.classes]
+    weighted = counts.terms.withColumn("_weight", sum((F.col(n) for n in names), F.lit(0)))
+    known = look_up(tf, weighted, ["term"], "_weight", names, id_col)
+    sums = known.where("_found").groupBy(id_col).agg(
         F.sum("tf").alias("_t"),
         *[
             F.sum(F.col("tf") * F.log(F.col(_n(c)) + alpha)).alias(f"_w_{c}")

@@ -9,6 +9,9 @@ from revloom.functions import text as tx
 from revloom.operators import ordered
 from revloom.session import written
 
+# Terms that hold more than 1 / HOT_SHARE of all rows are handled apart.
+HOT_SHARE = 10_000
+
 
 def term_rows(
     df: DataFrame, keys: list[str], text: str, low: int = 1, high: int = 1, tokenizer: str = "word"
@@ -53,19 +56,65 @@ def vocabulary(tf: DataFrame) -> DataFrame:
     )
 
 
+def fit_vocabulary(tf: DataFrame) -> DataFrame:
+    """The vocabulary as a written table, for repeated use."""
+    return written(vocabulary(tf), "vocabulary")
+
+
 def indexed_vocabulary(tf: DataFrame, block_rows: int = ordered.BLOCK_ROWS) -> DataFrame:
     """The vocabulary with ``term_index``, the rank in code-point order from 0.
 
     It is written first: ranking reads it several times.
     """
-    stored = written(vocabulary(tf), "vocabulary")
-    ranked = ordered.rank(stored, [], ["term"], "_rank", block_rows, narrow=True)
+    ranked = ordered.rank(fit_vocabulary(tf), [], ["term"], "_rank", block_rows, narrow=True)
     return ranked.withColumn("term_index", F.col("_rank") - 1).drop("_rank")
 
 
-def restrict(tf: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Counts of the vocabulary's terms only."""
-    return tf.join(vocab.select("term"), "term", "left_semi")
+def look_up(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    weight: str,
+    values: list[str],
+    salt_by: str,
+) -> DataFrame:
+    """Left join of (document, term) rows with a table of terms.
+
+    The most frequent terms are in nearly every document, so a plain join on the
+    term sends a large share of all rows to one task. Terms that carry more than
+    1 / HOT_SHARE of the table's total weight number fewer than HOT_SHARE, which
+    bounds what is broadcast. Their rows are answered in place and spread over
+    all tasks by document for the second join, which finds the other terms.
+
+    The table is read several times: pass one that is written.
+    """
+    total = table.agg(F.sum(weight)).scalar()
+    is_hot = F.col(weight) * HOT_SHARE > total
+    hot = table.where(is_hot).select(*keys, F.struct(*values).alias("_hot"))
+    rest = table.where(~is_hot).select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.struct(*values).alias("_rest")
+    )
+    near = rows.join(F.broadcast(hot), keys, "left")
+    salt = F.pmod(F.xxhash64(salt_by), F.lit(1 << 16)).cast("string")
+    salted = F.concat("term", F.lit("\0"), salt)
+    match = F.when(F.col("_hot").isNull(), F.col("term")).otherwise(salted)
+    near = near.withColumn("_match", match)
+    on = near["_match"] == rest["_key_term"]
+    for key in keys:
+        if key != "term":
+            on = on & (near[key] == rest[f"_key_{key}"])
+    found = F.coalesce("_hot", "_rest")
+    return near.join(rest, on, "left").select(
+        *[near[c] for c in rows.columns],
+        *[found[v].alias(v) for v in values],
+        found.isNotNull().alias("_found"),
+    )
+
+
+def restrict(tf: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
+    """Counts of the vocabulary's terms only; ``vocab`` as from ``fit_vocabulary``."""
+    known = look_up(tf, vocab, ["term"], "df", ["df"], id_col)
+    return known.where("_found").select(*tf.columns)
 
 
 def with_all_documents(tf: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
@@ -78,14 +127,16 @@ def with_all_documents(tf: DataFrame, docs: DataFrame, id_col: str) -> DataFrame
 
 
 def fit_scale(tf: DataFrame, docs: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """(by..., term, std): the population standard deviation of each term's count
+    """(by..., term, std, df), written: the population standard deviation of each term's count
     over all documents, those without the term included as zeros.
 
     ``by`` fits separately, e.g. per shard. Only terms that vary are listed.
     """
     by = by or []
     sums = tf.groupBy(*by, "term").agg(
-        F.sum("tf").alias("_s1"), F.sum(F.col("tf") * F.col("tf")).alias("_s2")
+        F.sum("tf").alias("_s1"),
+        F.sum(F.col("tf") * F.col("tf")).alias("_s2"),
+        F.count(F.lit(1)).alias("df"),
     )
     if by:
         sizes = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
@@ -94,18 +145,17 @@ def fit_scale(tf: DataFrame, docs: DataFrame, by: list[str] | None = None) -> Da
         n = docs.agg(F.count(F.lit(1))).scalar()
     mean = F.col("_s1") / n
     variance = F.greatest(F.col("_s2") / n - mean * mean, F.lit(0.0))
-    return sums.select(*by, "term", F.sqrt(variance).alias("std")).where(F.col("std") > 0)
+    stds = sums.select(*by, "term", F.sqrt(variance).alias("std"), "df")
+    return written(stds.where(F.col("std") > 0), "scale")
 
 
-def scale(tf: DataFrame, stds: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Add ``tf_scaled`` = tf / std; a term that does not vary stays as it is.
-
-    A frequent term has a row per document it is in. The join is left to the
-    adaptive planner, which splits such partitions.
-    """
-    joined = tf.join(stds, [*(by or []), "term"], "left")
+def scale(
+    tf: DataFrame, stds: DataFrame, id_col: str, by: list[str] | None = None
+) -> DataFrame:
+    """Add ``tf_scaled`` = tf / std; a term that does not vary stays as it is."""
+    known = look_up(tf, stds, [*(by or []), "term"], "df", ["std"], id_col)
     scaled = F.col("tf") / F.coalesce("std", F.lit(1.0))
-    return joined.withColumn("tf_scaled", scaled).drop("std")
+    return known.withColumn("tf_scaled", scaled).drop("std", "_found")
 
 
 def profile(docs: DataFrame, tf: DataFrame, label: str, split: str) -> DataFrame:

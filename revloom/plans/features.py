@@ -30,28 +30,30 @@ def vocabulary(spark, sf):
 
 def tf_fixed_vocab(spark, sf):
     items = views.table(spark, sf, "benchmark")
-    vocab = features.vocabulary(features.term_counts(items, "item_id", "text", 1, 2))
+    vocab = features.fit_vocabulary(features.term_counts(items, "item_id", "text", 1, 2))
     docs = _documents(spark, sf)
-    tf = features.restrict(features.term_counts(docs, "doc_id", "text", 1, 2), vocab)
+    tf = features.term_counts(docs, "doc_id", "text", 1, 2)
+    tf = features.restrict(tf, vocab, "doc_id")
     return features.with_all_documents(tf, docs, "doc_id")
 
 
 def tf_train_vocab(spark, sf):
     docs = split.holdout_split(_documents(spark, sf), "doc_id")
     tf = features.term_counts(docs, "doc_id", "text", keep=["split"])
-    return features.restrict(tf, features.vocabulary(tf.where(F.col("split") == "train")))
+    vocab = features.fit_vocabulary(tf.where(F.col("split") == "train"))
+    return features.restrict(tf, vocab, "doc_id")
 
 
 def scaled_tf(spark, sf):
     tf = _unigrams(spark, sf)
-    scaled = features.scale(tf, features.fit_scale(tf, _documents(spark, sf)))
+    scaled = features.scale(tf, features.fit_scale(tf, _documents(spark, sf)), "doc_id")
     return scaled.withColumn("tf_scaled", F.round("tf_scaled", 6))
 
 
 def scaled_tf_by_shard(spark, sf):
     docs = _documents(spark, sf).withColumn("shard", F.col("doc_id") % 2)
     tf = features.term_counts(docs, "doc_id", "text", keep=["shard"])
-    scaled = features.scale(tf, features.fit_scale(tf, docs, ["shard"]), ["shard"])
+    scaled = features.scale(tf, features.fit_scale(tf, docs, ["shard"]), "doc_id", ["shard"])
     return scaled.withColumn("tf_scaled", F.round("tf_scaled", 6))
 
 

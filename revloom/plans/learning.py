@@ -59,7 +59,7 @@ def _predicted(spark, sf):
     test = _part(_labelled(spark, sf), "test")
     tf = features.term_counts(test, "doc_id", "text", 1, 2)
     truth = test.select("doc_id", "label")
-    return bayes.predict(_fitted(spark, sf), tf, truth, "doc_id")
+    return bayes.predict(bayes.fitted(_fitted(spark, sf)), tf, truth, "doc_id")
 
 
 def nb_predict(spark, sf):
