@@ -128,30 +128,29 @@ def predict(
             for c in counts.classes
         ],
     )
-    by_class = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("label"), F.coalesce(f"_w_{c}", F.lit(0.0)).alias("w"))
-                for c in counts.classes
-            ]
+    # one small map, label -> (log_prior, log_total), next to every document
+    parameters = class_table(counts, alpha).agg(
+        F.map_from_entries(
+            F.collect_list(F.struct("label", F.struct("log_prior", "log_total")))
         )
     )
-    ids = docs.select(id_col).join(sums, id_col, "left")
-    scored = (
-        ids.select(id_col, F.coalesce("_t", F.lit(0)).alias("_t"), by_class.alias("_c"))
-        .select(id_col, "_t", F.col("_c.label").alias("label"), F.col("_c.w").alias("_w"))
-        .join(F.broadcast(class_table(counts, alpha)), "label")
-        .withColumn("_score", F.col("log_prior") + F.col("_w") - F.col("_t") * F.col("log_total"))
-    )
-    ranked = F.sort_array(
-        F.collect_list(F.struct(F.col("_score"), (-F.col("label")).alias("_neg"))), asc=False
-    )
-    best = scored.groupBy(id_col).agg(ranked.alias("_r"))
-    return docs.join(
-        best.select(
-            id_col,
-            (-F.col("_r")[0]["_neg"]).alias("prediction"),
-            (F.col("_r")[0]["_score"] - F.col("_r")[1]["_score"]).alias("margin"),
-        ),
-        id_col,
+
+    def score(c):
+        of_class = F.element_at("_parameters", F.lit(c))
+        words = F.coalesce(f"_w_{c}", F.lit(0.0))
+        value = of_class["log_prior"] + words - F.coalesce("_t", F.lit(0)) * of_class["log_total"]
+        return F.struct(
+            F.coalesce(value, F.lit(float("-inf"))).alias("score"), F.lit(-c).alias("negative")
+        )
+
+    ranked = F.sort_array(F.array(*[score(c) for c in counts.classes]), asc=False)
+    return (
+        docs.join(sums, id_col, "left")
+        .withColumn("_parameters", parameters.scalar())
+        .withColumn("_ranked", ranked)
+        .select(
+            *docs.columns,
+            (-F.col("_ranked")[0]["negative"]).alias("prediction"),
+            (F.col("_ranked")[0]["score"] - F.col("_ranked")[1]["score"]).alias("margin"),
+        )
     )

@@ -47,7 +47,10 @@ class Blocks:
 
 
 def has_hot_group(df: DataFrame, group: list[str], block_rows: int) -> bool:
-    """Whether some group holds more than ``block_rows`` rows (reads only the keys)."""
+    """Whether some group holds more than ``block_rows`` rows (reads only the keys).
+
+    Counts are combined per task first, so a hot group is no burden here.
+    """
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
     return not counts.where(F.col("n") > block_rows).isEmpty()
 
@@ -143,6 +146,8 @@ def _cells(df: DataFrame, group: list[str], order: list[str], block_rows: int):
         value = F.col(column) if text else _number(df, column)
         n, low, high = F.col("_n"), F.col("_low"), F.col("_high")
         for _ in range(LEVELS):
+            if not has_hot_group(df, keys, block_rows):
+                return df, cells
             hot = (
                 df.groupBy(*keys)
                 .agg(

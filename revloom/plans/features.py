@@ -118,7 +118,7 @@ def tf_sql(name: str, relation: str, keys: str, high: int = 1) -> str:
 
 
 HASH_SQL = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT)"
-_HOLDOUT = (
+HOLDOUT_SQL = (
     "CASE WHEN " + HASH_SQL.format("CAST(doc_id AS VARCHAR)") + " % 10 = 0"
     " THEN 'test' ELSE 'train' END AS split"
 )
@@ -126,9 +126,9 @@ _SEEDED = (
     "CASE WHEN " + HASH_SQL.format("'1112:' || doc_id") + " % 100 < 25"
     " THEN 'test' ELSE 'train' END AS split"
 )
-SPLIT_SQL = f"docs AS (SELECT doc_id, text, {_HOLDOUT} FROM documents)"
+SPLIT_SQL = f"docs AS (SELECT doc_id, text, {HOLDOUT_SQL} FROM documents)"
 LABELLED_SQL = f"""docs AS (
-  SELECT doc_id, text, toxic AS label, {_HOLDOUT} FROM documents JOIN labels USING (doc_id))"""
+  SELECT doc_id, text, toxic AS label, {HOLDOUT_SQL} FROM documents JOIN labels USING (doc_id))"""
 
 _STD_SQL = """SELECT {by}term, sqrt(sum(tf * tf) / any_value(n)
     - (sum(tf) / any_value(n)) * (sum(tf) / any_value(n))) AS std FROM tf {join}
@@ -168,7 +168,7 @@ FROM tf JOIN ({_STD_SQL.format(
     CAST(sum(tf) AS BIGINT) AS tokens FROM tf)""",
     "features_labels_join": views.with_sql(tf_sql("tf", "documents", "doc_id"))
     + """SELECT doc_id, doc_id % 2 AS shard, term, tf, toxic FROM tf JOIN labels USING (doc_id)""",
-    "shard_union": f"SELECT doc_id, doc_id % 2 AS shard, {_HOLDOUT}, n_chars FROM documents",
-    "split_hash": f"SELECT doc_id, {_HOLDOUT} FROM documents",
+    "shard_union": f"SELECT doc_id, doc_id % 2 AS shard, {HOLDOUT_SQL}, n_chars FROM documents",
+    "split_hash": f"SELECT doc_id, {HOLDOUT_SQL} FROM documents",
     "split_seeded": f"SELECT doc_id, {_SEEDED} FROM documents",
 }

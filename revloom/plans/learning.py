@@ -6,10 +6,12 @@ from pyspark.ml.feature import Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from revloom.operators import bayes, evaluate, features, models, split, tokens
+from revloom.functions.labels import label
+from revloom.operators import bayes, cleaning, diff, evaluate, features, models, split, tokens
 from revloom.plans import views
-from revloom.plans.features import LABELLED_SQL, tf_sql
-from revloom.session import scratch_path
+from revloom.plans.changes import diff_text_cte
+from revloom.plans.features import HOLDOUT_SQL, LABELLED_SQL, tf_sql
+from revloom.session import scratch_path, written
 from revloom.sources import store
 
 LONG_TEXT = 1_000
@@ -55,11 +57,16 @@ def nb_incremental(spark, sf):
     return _rounded_model(bayes.add(parts))
 
 
-def _predicted(spark, sf):
-    test = _part(_labelled(spark, sf), "test")
+def _bayes(docs):
+    """Fit on the training part of (doc_id, text, label, split), predict the rest."""
+    test = _part(docs, "test")
     tf = features.term_counts(test, "doc_id", "text", 1, 2)
     truth = test.select("doc_id", "label")
-    return bayes.predict(bayes.fitted(_fitted(spark, sf)), tf, truth, "doc_id")
+    return bayes.predict(bayes.fitted(_count(_part(docs, "train"))), tf, truth, "doc_id")
+
+
+def _predicted(spark, sf):
+    return _bayes(_labelled(spark, sf))
 
 
 def nb_predict(spark, sf):
@@ -84,6 +91,23 @@ def metrics(spark, sf):
     return evaluate.metrics(evaluate.confusion(_evaluated(spark, sf)))
 
 
+def reverted_from_diff(spark, sf):
+    """From histories to a judged classifier: was an edit reverted, by its diff?
+
+    The diffs are written, as a prepared corpus would be, and read for training
+    and for prediction.
+    """
+    edits = diff.diff_text(
+        views.rev_tagged(spark, sf), ["page"], ["rev"], {"content_diff": "content"}, carry=("tags",)
+    )
+    prepared = written(edits.select("rev", "content_diff", "tags"), "edits")
+    docs = cleaning.feature_text(prepared, "content_diff").select(
+        F.col("rev").alias("doc_id"), "text", label(F.col("tags"), "medium").alias("label")
+    )
+    judged = _bayes(split.holdout_split(docs, "doc_id"))
+    return evaluate.confusion(evaluate.predictions(judged, "diff", "label", "prediction"))
+
+
 def _vectors(spark, sf, high):
     docs = _labelled(spark, sf)
     return models.with_terms(docs, "text", 1, high)
@@ -150,12 +174,12 @@ QUERIES = {
     "confusion": confusion,
     "metrics": metrics,
     "model_report": model_report,
+    "reverted_from_diff": reverted_from_diff,
 }
 
 # --- SQL -------------------------------------------------------------------------
 
 _MODEL_SQL = [
-    LABELLED_SQL,
     tf_sql("tf", "docs", "doc_id, label, split", 2),
     "classes AS (SELECT label, ln(count(*) / (SELECT count(*) FROM docs WHERE split = 'train'))"
     " AS log_prior FROM docs WHERE split = 'train' GROUP BY label)",
@@ -169,7 +193,6 @@ _MODEL_SQL = [
   LEFT JOIN n ON n.label = c.label AND n.term = v.term)""",
 ]
 _PREDICT_SQL = [
-    *_MODEL_SQL,
     """scores AS (
   SELECT d.doc_id, d.label AS truth, c.label, c.log_prior + coalesce(s.s, 0) AS score
   FROM docs d CROSS JOIN classes c
@@ -184,29 +207,48 @@ _PREDICT_SQL = [
     max(score) - min(score) AS margin
   FROM scores GROUP BY doc_id)""",
 ]
+_COUNTS_SQL = """counts AS (
+  SELECT model, count(*) FILTER (truth = 1 AND prediction = 1) AS tp,
+    count(*) FILTER (truth = 0 AND prediction = 1) AS fp,
+    count(*) FILTER (truth = 0 AND prediction = 0) AS tn,
+    count(*) FILTER (truth = 1 AND prediction = 0) AS fn
+  FROM judged GROUP BY model)"""
 _EVALUATED_SQL = [
+    LABELLED_SQL,
+    *_MODEL_SQL,
     *_PREDICT_SQL,
     f"""judged AS (
   SELECT 'naive bayes' AS model, label AS truth, prediction FROM predicted
   UNION ALL
   SELECT 'length rule', quality, CAST(n_chars > {LONG_TEXT} AS INTEGER)
   FROM documents JOIN labels USING (doc_id))""",
-    """counts AS (
-  SELECT model, count(*) FILTER (truth = 1 AND prediction = 1) AS tp,
-    count(*) FILTER (truth = 0 AND prediction = 1) AS fp,
-    count(*) FILTER (truth = 0 AND prediction = 0) AS tn,
-    count(*) FILTER (truth = 1 AND prediction = 0) AS fn
-  FROM judged GROUP BY model)""",
+    _COUNTS_SQL,
 ]
-_ROUNDED_MODEL_SQL = views.with_sql(*_MODEL_SQL) + (
+_DIFF_DOCS_SQL = f"""docs AS (
+  SELECT doc_id, diff_text AS text, {HOLDOUT_SQL}, coalesce(CAST(list_has_any(
+    (SELECT tags FROM tags t WHERE t.doc_id = d.doc_id), ['mw-reverted', 'Reverted'])
+    AS INTEGER), 0) AS label
+  FROM (SELECT rev AS doc_id, diff_text FROM rev_diff) d)"""
+_ROUNDED_MODEL_SQL = views.with_sql(LABELLED_SQL, *_MODEL_SQL) + (
     "SELECT label, term, round(log_prob, 6) AS log_prob, round(log_prior, 6) AS log_prior FROM model"
 )
 
 ORACLE = {
     "nb_model": _ROUNDED_MODEL_SQL,
     "nb_incremental": _ROUNDED_MODEL_SQL,
-    "nb_predict": views.with_sql(*_PREDICT_SQL)
+    "nb_predict": views.with_sql(LABELLED_SQL, *_MODEL_SQL, *_PREDICT_SQL)
     + "SELECT doc_id, label, prediction, round(margin, 4) AS margin FROM predicted",
+    "reverted_from_diff": views.with_sql(
+        views.TAGS_SQL,
+        views.REV_SQL,
+        diff_text_cte("rev"),
+        _DIFF_DOCS_SQL,
+        *_MODEL_SQL,
+        *_PREDICT_SQL,
+        "judged AS (SELECT 'diff' AS model, label AS truth, prediction FROM predicted)",
+        _COUNTS_SQL,
+    )
+    + "SELECT *, fp + fn AS mistakes FROM counts",
     "confusion": views.with_sql(*_EVALUATED_SQL) + "SELECT *, fp + fn AS mistakes FROM counts",
     "metrics": views.with_sql(*_EVALUATED_SQL)
     + """SELECT model, (tp + tn) / (tp + fp + tn + fn) * 100 AS accuracy,
