@@ -38,7 +38,8 @@ def chronological(df: DataFrame, group: list[str], newest_first: str, name: str)
 
 
 def micros(ts: str) -> Column:
-    """Microseconds since the epoch, of either timestamp type."""
+    """Microseconds since the epoch, of either timestamp type; the session's time
+    zone is UTC, so times without a zone are taken as UTC."""
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 

@@ -65,8 +65,8 @@ def blocks(
 ) -> Blocks:
     """Lay rows out for windows that look at most ``overlap`` rows back.
 
-    ``group + order`` must identify a row. ``max_group_rows`` states a bound that
-    holds by construction and saves the count.
+    ``group + order`` must identify a row and have no nulls. ``max_group_rows``
+    states a bound that holds by construction and saves the count.
     """
     known_small = max_group_rows is not None and max_group_rows <= block_rows
     if known_small or not has_hot_group(df, group, block_rows):
@@ -97,7 +97,7 @@ def rank(
 ) -> DataFrame:
     """Add the 1-based position of each row in its group (``group=[]``: overall).
 
-    ``group + order`` must identify a row. Hot groups are ranked by these columns
+    ``group + order`` must identify a row and have no nulls. Hot groups are ranked by these columns
     alone and the rest is joined back, unless the rows are ``narrow``.
     """
     if not has_hot_group(df, group, block_rows):

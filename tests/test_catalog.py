@@ -1,8 +1,10 @@
 """Every registered query against its SQL, and the shape of its plan."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from revloom.plans import catalog
+from revloom.functions.text import segments
+from revloom.plans import catalog, views
 from tests import oracle
 from tests.conftest import SF
 
@@ -44,3 +46,27 @@ def test_plan_has_no_cross_join_and_no_python(spark, name):
 @pytest.mark.parametrize("name", sorted(LEARNED))
 def test_learned_queries_have_rows(spark, name):
     assert catalog.queries()[name](spark, SF).count() > 0
+
+
+def test_time_filter_and_columns_reach_the_scan(spark):
+    plan = catalog.queries()["time_range"](spark, SF)._jdf.queryExecution().toString()
+    scan = plan[plan.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(ts" in scan and "LessThanOrEqual(ts" in scan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in scan
+
+
+def test_joined_segments_are_the_text_without_line_breaks(spark):
+    docs = views.table(spark, SF, "documents").select("text")
+    joined = F.concat_ws("", segments(F.col("text")))
+    assert docs.where(joined != F.replace("text", F.lit("\n"), F.lit(""))).count() == 0
+
+
+def test_label_policies_widen(spark):
+    rows = catalog.queries()["label_policies"](spark, SF)
+    assert rows.where("strict > medium or medium > wide").count() == 0
+
+
+def test_confusion_adds_up(spark):
+    rows = catalog.queries()["confusion"](spark, SF).collect()
+    sums = {r["model"]: r["tp"] + r["fp"] + r["tn"] + r["fn"] for r in rows}
+    assert sums["length rule"] == views.table(spark, SF, "labels").count()
