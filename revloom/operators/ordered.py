@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revloom.session import written
+
 BLOCK_ROWS = 1_000_000
 # Hot groups number at most rows / block_rows; their table is broadcast only
 # below this many rows.
@@ -73,7 +75,8 @@ def blocks(
         return Blocks(df, list(group), list(order))
     size = max(block_rows, overlap)
     keys = [*group, *order]
-    ranks = _rank_in_cells(df.select(*keys), group, order, _RANK, block_rows)
+    ids = written(df.select(*keys, F.lit(1).alias("_value")), "ranking")
+    ranks = _total_in_cells(ids, group, order, _RANK, block_rows)
     at = F.col(_RANK) - 1
     own = F.floor(at / size)
     copies = F.when(
@@ -95,37 +98,53 @@ def rank(
     block_rows: int = BLOCK_ROWS,
     narrow: bool = False,
 ) -> DataFrame:
-    """Add the 1-based position of each row in its group (``group=[]``: overall).
+    """Add the 1-based position of each row in its group (``group=[]``: overall)."""
+    return running_total(df, group, order, F.lit(1), name, block_rows, narrow)
+
 
-    ``group + order`` must identify a row and have no nulls. Hot groups are ranked by these columns
-    alone and the rest is joined back, unless the rows are ``narrow``.
+def running_total(
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    value: Column,
+    name: str,
+    block_rows: int = BLOCK_ROWS,
+    narrow: bool = False,
+) -> DataFrame:
+    """Add the sum of a whole-number value up to and including each row.
+
+    ``group + order`` must identify a row and have no nulls. Rows of hot groups
+    are reduced to these columns and the value, written, summed in cells and
+    joined back. ``narrow`` rows that are stored already are summed as they are.
     """
     if not has_hot_group(df, group, block_rows):
-        window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("long"))
+        return df.withColumn(name, F.sum(value.cast("long")).over(_upto(group, order)))
+    if narrow:
+        totals = _total_in_cells(df.withColumn("_value", value), group, order, name, block_rows)
+        return totals.drop("_value")
     ids = [*group, *order]
-    if narrow or set(df.columns) == set(ids):
-        return _rank_in_cells(df, group, order, name, block_rows)
-    return df.join(_rank_in_cells(df.select(*ids), group, order, name, block_rows), ids)
+    thin = written(df.select(*ids, value.alias("_value")), "ranking")
+    totals = _total_in_cells(thin, group, order, name, block_rows).drop("_value")
+    return totals if set(df.columns) == set(ids) else df.join(totals, ids)
 
 
-def _rank_in_cells(df, group, order, name, block_rows):
+def _upto(group, order, last=Window.currentRow):
+    window = Window.partitionBy(*group).orderBy(*order)
+    return window.rowsBetween(Window.unboundedPreceding, last)
+
+
+def _total_in_cells(df, group, order, name, block_rows):
     celled, cells = _cells(df, group, order, block_rows)
     keys = [*group, *cells]
-    earlier = (
-        Window.partitionBy(*group)
-        .orderBy(*cells)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    value = F.col("_value").cast("long")
     offsets = (
         celled.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .drop("_n")
+        .agg(F.sum(value).alias("_sum"))
+        .withColumn("_offset", F.coalesce(F.sum("_sum").over(_upto(group, cells, -1)), F.lit(0)))
+        .drop("_sum")
     )
-    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
-        celled.withColumn("_inside", inside)
+        celled.withColumn("_inside", F.sum(value).over(_upto(keys, order)))
         .join(offsets, keys)
         .withColumn(name, F.col("_inside") + F.col("_offset"))
         .drop("_inside", "_offset", *cells)
@@ -138,7 +157,8 @@ def _cells(df: DataFrame, group: list[str], order: list[str], block_rows: int):
     A level looks at the count and the range of an order column in every cell
     above the limit. Numbers and times are cut into equal ranges, strings by the
     characters after the prefix the whole cell shares. It ends when no cell above
-    the limit can be cut, that is, its rows agree in all order columns.
+    the limit can be cut, that is, its rows agree in all order columns. The rows
+    are read about twice per level; ``df`` should be cheap to read.
     """
     keys, cells = list(group), []
     for column in order:
@@ -166,6 +186,8 @@ def _cells(df: DataFrame, group: list[str], order: list[str], block_rows: int):
                 bounds = (F.lit(overall[c]) for c in ("_n", "_low", "_high"))
                 df = df.withColumn(name, _cell(value, *bounds, text, block_rows))
             else:
+                # written, so that a level does not repeat the work of those before
+                hot = written(hot, "hot-groups")
                 n_hot = hot.count()
                 if n_hot == 0:
                     break

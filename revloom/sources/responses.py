@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revloom.operators import ordered
-from revloom.operators.history import TEXT_BLOCK_ROWS
 from revloom.schemas import RESPONSE
+from revloom.session import written
 
 # The newest and oldest revision time of the corpus.
 NEWEST, OLDEST = "2021-12-10T23:59:59Z", "2020-07-20T21:06:21Z"
@@ -47,25 +47,37 @@ def assemble(batches: DataFrame) -> DataFrame:
 
     Batches after the first one that announces no further batch are ignored. A
     title without such a last batch is incomplete and, like one with an invalid
-    batch, yields nothing. Rows stay rows: nothing is gathered per title, which
-    only gets a small aggregate, and positions come from the ranking operator.
+    batch, yields nothing. What decides this is one small row per batch, which is
+    written; revisions are never gathered per title.
     """
-    judged = classify(batches).withColumn("_valid", F.col("status").isin("ok", "warning"))
-    ends = judged.groupBy("title").agg(
+    judged = classify(batches)
+    heads = written(
+        judged.select(
+            "title",
+            "batch_no",
+            "more",
+            F.col("status").isin("ok", "warning").alias("valid"),
+            F.coalesce(F.array_size("revisions"), F.lit(0)).alias("size"),
+        ),
+        "batches",
+    )
+    ends = heads.groupBy("title").agg(
         F.min(F.when(~F.col("more"), F.col("batch_no"))).alias("_last"),
-        F.min(F.when(~F.col("_valid"), F.col("batch_no"))).alias("_broken"),
+        F.min(F.when(~F.col("valid"), F.col("batch_no"))).alias("_broken"),
     )
     whole = ends.where(
         F.col("_last").isNotNull()
         & (F.col("_broken").isNull() | (F.col("_broken") > F.col("_last")))
     ).select("title", "_last")
-    rows = (
-        judged.join(whole, "title")
-        .where(F.col("batch_no") <= F.col("_last"))
-        .select("title", "batch_no", F.posexplode("revisions").alias("_at", "revision"))
+    used = heads.join(whole, "title").where(F.col("batch_no") <= F.col("_last"))
+    placed = ordered.running_total(
+        used.select("title", "batch_no", "size"), ["title"], ["batch_no"], F.col("size"), "_upto"
+    ).select("title", "batch_no", (F.col("_upto") - F.col("size")).alias("_first"))
+    return (
+        judged.join(placed, ["title", "batch_no"])
+        .select("title", "_first", F.posexplode("revisions").alias("_at", "revision"))
+        .select("title", (F.col("_first") + F.col("_at")).alias("pos"), "revision")
     )
-    placed = ordered.rank(rows, ["title"], ["batch_no", "_at"], "_rank", TEXT_BLOCK_ROWS)
-    return placed.select("title", (F.col("_rank") - 1).alias("pos"), "revision")
 
 
 def in_time_range(df: DataFrame, ts: str, oldest=OLDEST, newest=NEWEST) -> DataFrame:

@@ -74,3 +74,14 @@ def test_time_gaps_of_hot_groups(rows):
     blocks = history.time_gaps(rows, ["g"], "ts", "id", block_rows=20)
     assert as_map(blocks, ["id"], "gap_seconds") == as_map(plain, ["id"], "gap_seconds")
     assert plain.count() == rows.count() - rows.select("g").distinct().count()
+
+
+def test_running_total_of_hot_groups(rows):
+    window = Window.partitionBy("g").orderBy("ts", "id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    value = F.col("id") % 5
+    expected = as_map(rows.withColumn("s", F.sum(value).over(window)), ["id"], "s")
+    for block_rows in (20, 1000):
+        got = ordered.running_total(rows, ["g"], ["ts", "id"], value, "s", block_rows)
+        assert as_map(got, ["id"], "s") == expected
