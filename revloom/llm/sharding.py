@@ -25,44 +25,39 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text).cast("long"), F.lit(0).cast("long")) + F.lit(ROW_BYTES)
 
 
-def _sums(frames):
-    seen, rows = 0, 0
-    for frame in frames:
-        sums = frame["size"].cumsum() + seen
-        frame = frame.assign(before=sums - frame["size"], place=range(rows, rows + len(frame)))
-        seen, rows = int(sums.iloc[-1]) if len(sums) else seen, rows + len(frame)
-        yield frame
-
-
 def prefix_sums(sized: DataFrame, order: list[str], name: str = "sharding") -> DataFrame:
-    """Add ``before`` (bytes in all earlier rows) and ``place`` (number of earlier rows).
+    """Add ``_before`` (bytes in all earlier rows) and ``_place`` (number of earlier rows).
 
     ``sized`` has a ``size`` column, not null. Rows that tie in ``order`` follow
     one another in some order; equal rows can be spread over partitions because a
     number of the row is the last key.
     """
-    numbered = sized.withColumn("tie", F.monotonically_increasing_id())
-    keys = [*order, "tie"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
-    placed = (
-        numbered.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInPandas(_sums, f"{schema}, before long, place long")
-        .withColumn("part", F.spark_partition_id())
+    keys = [*order, "_tie"]
+    placed = written(
+        sized.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*keys)
+        .withColumn("_part", F.spark_partition_id()),
+        name,
     )
-    placed = written(placed, name)
     # One row per partition.
-    totals = placed.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    totals = placed.groupBy("_part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        "part",
-        F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("bytes_before"),
-        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"),
+        "_part",
+        F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("_bytes_before"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_rows_before"),
     )
-    return placed.join(F.broadcast(offsets), "part").select(
-        *[c for c in sized.columns],
-        (F.col("before") + F.col("bytes_before")).alias("before"),
-        (F.col("place") + F.col("rows_before")).alias("place"),
+    inside = W.partitionBy("_part").orderBy(*keys)
+    above = inside.rowsBetween(W.unboundedPreceding, -1)
+    return (
+        placed.withColumn("_before", F.coalesce(F.sum("size").over(above), F.lit(0)))
+        .withColumn("_place", F.row_number().over(inside) - 1)
+        .join(F.broadcast(offsets), "_part")
+        .select(
+            *sized.columns,
+            (F.col("_before") + F.col("_bytes_before")).alias("_before"),
+            (F.col("_place") + F.col("_rows_before")).alias("_place"),
+        )
     )
 
 
@@ -75,14 +70,14 @@ def assign(sized: DataFrame, order: list[str], shards: int = SHARDS, name: str =
     than a target can leave the shards next to it without rows.
     """
     summed = prefix_sums(sized, order, name)
-    total = sized.agg(F.sum("size").alias("total"))
-    middle = F.col("before").cast("decimal(38,0)") * 2 + F.col("size")
-    shard = F.floor(middle * shards / (2 * F.col("total"))).cast("int")
+    total = sized.agg(F.sum("size").alias("_total"))
+    middle = F.col("_before").cast("decimal(38,0)") * 2 + F.col("size")
+    shard = F.floor(middle * shards / (2 * F.col("_total"))).cast("int")
     cut = summed.join(F.broadcast(total)).withColumn("shard", F.least(shard, F.lit(shards - 1)))
-    first = cut.groupBy("shard").agg(F.min("place").alias("first"))
+    first = cut.groupBy("shard").agg(F.min("_place").alias("_first"))
     return (
         cut.join(F.broadcast(first), "shard")
-        .withColumn("slot", F.col("place") - F.col("first"))
+        .withColumn("slot", F.col("_place") - F.col("_first"))
         .select(*sized.columns, "shard", "slot")
     )
 
