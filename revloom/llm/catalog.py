@@ -6,7 +6,11 @@ from importlib import import_module
 
 MODULES = [
     "bpe",
+    "decontamination",
+    "langid",
+    "linededup",
     "sharding",
+    "warc",
 ]
 
 
