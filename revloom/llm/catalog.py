@@ -5,8 +5,10 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = [
+    "ann",
     "bpe",
     "decontamination",
+    "jaccard",
     "langid",
     "linededup",
     "sharding",
