@@ -11,7 +11,9 @@ MODULES = [
     "jaccard",
     "langid",
     "linededup",
+    "pii",
     "sharding",
+    "toxicity",
     "warc",
 ]
 
