@@ -66,7 +66,7 @@ def indexed_vocabulary(tf: DataFrame, block_rows: int = ordered.BLOCK_ROWS) -> D
 
     It is written first: ranking reads it several times.
     """
-    ranked = ordered.rank(fit_vocabulary(tf), [], ["term"], "_rank", block_rows, narrow=True)
+    ranked = ordered.rank(fit_vocabulary(tf), [], ["term"], "_rank", block_rows)
     return ranked.withColumn("term_index", F.col("_rank") - 1).drop("_rank")
 
 

@@ -1,35 +1,37 @@
 """Ordered work within groups of any size.
 
 A window puts a whole group into one task. That is fine for ordinary groups, so
-they are windowed directly. When a count shows a group above ``block_rows``, its
-rows are cut into blocks of consecutive rows, each block also gets the few rows
-before it as context, and the window runs per block. Results are the same.
+they are windowed directly. When a count shows a group above ``block_rows``, rows
+are sorted by range over group and order, so each partition holds consecutive rows;
+totals per partition and group are added up, and with them every row knows its
+place in its group. Rows are then cut into blocks of consecutive rows, each block
+also gets the few rows before it as context, and the window runs per block.
+
+Every row gets a number of its own when it comes in. It is the last order column
+and the only key by which rows are joined, so rows with null or repeated keys are
+neither lost nor multiplied, and rows that tie keep the order they came in, however
+large their group is.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from revloom.session import written
 
 BLOCK_ROWS = 1_000_000
-# Hot groups number at most rows / block_rows; their table is broadcast only
-# below this many rows.
-BROADCAST_GROUPS = 100_000
-# Each level cuts a hot cell into many smaller ones; see _cells.
-LEVELS = 8
 
-_BLOCK, _CONTEXT, _RANK = "_block", "_context", "_rank"
+ROW, _BLOCK, _CONTEXT, _RANK, _PART = "_row", "_block", "_context", "_rank", "_part"
 
 
 @dataclass(frozen=True)
 class Blocks:
     """Rows laid out so that windows over ``keys`` ordered by ``order`` see every
-    row they need; ``close`` removes the context rows again."""
+    row they need; ``close`` removes the context rows and the row number again."""
 
     df: DataFrame
     keys: list[str]
@@ -39,9 +41,7 @@ class Blocks:
         return Window.partitionBy(*self.keys).orderBy(*self.order)
 
     def close(self, df: DataFrame) -> DataFrame:
-        if _CONTEXT not in df.columns:
-            return df
-        return df.where(~F.col(_CONTEXT)).drop(_CONTEXT, _BLOCK)
+        return df.where(self.rows()).drop(_CONTEXT, _BLOCK, ROW)
 
     def rows(self) -> Column:
         """Condition that keeps the real rows, for use before an aggregation."""
@@ -51,12 +51,17 @@ class Blocks:
 def has_hot_group(df: DataFrame, group: list[str], block_rows: int) -> bool:
     """Whether some group holds more than ``block_rows`` rows (reads only the keys).
 
-    Counts are combined per task first, so a hot group is no burden here.
+    Counts are combined per task first, so a hot group is no burden here. This
+    runs a job while the query is built.
     """
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
     return not counts.where(F.col("n") > block_rows).isEmpty()
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def blocks(
     df: DataFrame,
     group: list[str],
@@ -67,16 +72,18 @@ def blocks(
 ) -> Blocks:
     """Lay rows out for windows that look at most ``overlap`` rows back.
 
-    ``group + order`` must identify a row and have no nulls. ``max_group_rows``
-    states a bound that holds by construction and saves the count.
+    ``max_group_rows`` states a bound that holds by construction and saves the
+    count. Hot groups cost one copy of the rows in the shared folder and one more
+    shuffle of them.
     """
+    rows = _numbered(df)
+    ordered = [*order, ROW]
     known_small = max_group_rows is not None and max_group_rows <= block_rows
     if known_small or not has_hot_group(df, group, block_rows):
-        return Blocks(df, list(group), list(order))
+        return Blocks(rows, list(group), ordered)
+    rows = written(rows, "numbered")
     size = max(block_rows, overlap)
-    keys = [*group, *order]
-    ids = written(df.select(*keys, F.lit(1).alias("_value")), "ranking")
-    ranks = _total_in_cells(ids, group, order, _RANK, block_rows)
+    ranks = _totals(rows.select(*dict.fromkeys([*group, *ordered])), group, ordered, F.lit(1), _RANK)
     at = F.col(_RANK) - 1
     own = F.floor(at / size)
     copies = F.when(
@@ -86,8 +93,8 @@ def blocks(
             F.struct((own + 1).alias(_BLOCK), F.lit(True).alias(_CONTEXT)),
         ),
     ).otherwise(F.array(F.struct(own.alias(_BLOCK), F.lit(False).alias(_CONTEXT))))
-    placed = ranks.select(*keys, F.inline(copies))
-    return Blocks(df.join(placed, keys), [*group, _BLOCK], list(order))
+    placed = ranks.select(ROW, F.inline(copies))
+    return Blocks(rows.join(placed, ROW), [*group, _BLOCK], ordered)
 
 
 def rank(
@@ -96,10 +103,9 @@ def rank(
     order: list[str],
     name: str,
     block_rows: int = BLOCK_ROWS,
-    narrow: bool = False,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group (``group=[]``: overall)."""
-    return running_total(df, group, order, F.lit(1), name, block_rows, narrow)
+    return running_total(df, group, order, F.lit(1), name, block_rows)
 
 
 def running_total(
@@ -109,23 +115,23 @@ def running_total(
     value: Column,
     name: str,
     block_rows: int = BLOCK_ROWS,
-    narrow: bool = False,
 ) -> DataFrame:
     """Add the sum of a whole-number value up to and including each row.
 
-    ``group + order`` must identify a row and have no nulls. Rows of hot groups
-    are reduced to these columns and the value, written, summed in cells and
-    joined back. ``narrow`` rows that are stored already are summed as they are.
+    With hot groups the rows are written; only group, order and value are sorted
+    by range, and other columns are joined back by the number of the row.
     """
     if not has_hot_group(df, group, block_rows):
-        return df.withColumn(name, F.sum(value.cast("long")).over(_upto(group, order)))
-    if narrow:
-        totals = _total_in_cells(df.withColumn("_value", value), group, order, name, block_rows)
-        return totals.drop("_value")
-    ids = [*group, *order]
-    thin = written(df.select(*ids, value.alias("_value")), "ranking")
-    totals = _total_in_cells(thin, group, order, name, block_rows).drop("_value")
-    return totals if set(df.columns) == set(ids) else df.join(totals, ids)
+        total = F.sum(value.cast("long")).over(_upto(group, [*order, ROW]))
+        return _numbered(df).withColumn(name, total).drop(ROW)
+    ordered = [*order, ROW]
+    keys = list(dict.fromkeys([*group, *ordered]))
+    if set(df.columns) <= set(keys):
+        return _totals(_numbered(df), group, ordered, value, name).drop(ROW)
+    rows = written(_numbered(df), "numbered")
+    thin = rows.select(*keys, value.alias("_value"))
+    totals = _totals(thin, group, ordered, F.col("_value"), name)
+    return rows.join(totals.select(ROW, name), ROW).drop(ROW)
 
 
 def _upto(group, order, last=Window.currentRow):
@@ -133,95 +139,28 @@ def _upto(group, order, last=Window.currentRow):
     return window.rowsBetween(Window.unboundedPreceding, last)
 
 
-def _total_in_cells(df, group, order, name, block_rows):
-    celled, cells = _cells(df, group, order, block_rows)
-    keys = [*group, *cells]
-    value = F.col("_value").cast("long")
-    offsets = (
-        celled.groupBy(*keys)
-        .agg(F.sum(value).alias("_sum"))
-        .withColumn("_offset", F.coalesce(F.sum("_sum").over(_upto(group, cells, -1)), F.lit(0)))
-        .drop("_sum")
+def _totals(df: DataFrame, group: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """``df`` with the running total of ``value`` as ``name``; ``order`` ends with ``ROW``.
+
+    Two passes: one to sort by range and write, one to add up. What is windowed
+    over whole groups has one row per partition and group.
+    """
+    placed = written(
+        df.withColumn("_add", value.cast("long"))
+        .repartitionByRange(*group, *order)
+        .withColumn(_PART, F.spark_partition_id()),
+        "ranking",
+    )
+    sums = placed.groupBy(*group, _PART).agg(F.sum("_add").alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(_upto(group, [_PART], -1)), F.lit(0))
+    offsets = sums.select(
+        *[F.col(c).alias(f"_of_{c}") for c in group], F.col(_PART).alias("_of"), before.alias("_offset")
     )
+    match = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group]
+    inside = F.sum("_add").over(_upto([*group, _PART], order))
     return (
-        celled.withColumn("_inside", F.sum(value).over(_upto(keys, order)))
-        .join(offsets, keys)
+        placed.withColumn("_inside", inside)
+        .join(offsets, reduce(Column.__and__, match, F.col(_PART) == F.col("_of")))
         .withColumn(name, F.col("_inside") + F.col("_offset"))
-        .drop("_inside", "_offset", *cells)
+        .select(*df.columns, name)
     )
-
-
-def _cells(df: DataFrame, group: list[str], order: list[str], block_rows: int):
-    """Cut hot groups into cells that sort like the rows they hold.
-
-    A level looks at the count and the range of an order column in every cell
-    above the limit. Numbers and times are cut into equal ranges, strings by the
-    characters after the prefix the whole cell shares. It ends when no cell above
-    the limit can be cut, that is, its rows agree in all order columns. The rows
-    are read about twice per level; ``df`` should be cheap to read.
-    """
-    keys, cells = list(group), []
-    for column in order:
-        text = isinstance(df.schema[column].dataType, T.StringType)
-        value = F.col(column) if text else _number(df, column)
-        n, low, high = F.col("_n"), F.col("_low"), F.col("_high")
-        for _ in range(LEVELS):
-            if not has_hot_group(df, keys, block_rows):
-                return df, cells
-            hot = (
-                df.groupBy(*keys)
-                .agg(
-                    F.count(F.lit(1)).alias("_n"),
-                    F.min(value).alias("_low"),
-                    F.max(value).alias("_high"),
-                )
-                .where((n > block_rows) & (low < high))
-            )
-            name = f"_cell{len(cells)}"
-            if not keys:
-                # the whole table is the group: its range is one row
-                overall = hot.first()
-                if overall is None:
-                    break
-                bounds = (F.lit(overall[c]) for c in ("_n", "_low", "_high"))
-                df = df.withColumn(name, _cell(value, *bounds, text, block_rows))
-            else:
-                # written, so that a level does not repeat the work of those before
-                hot = written(hot, "hot-groups")
-                n_hot = hot.count()
-                if n_hot == 0:
-                    break
-                side = F.broadcast(hot) if n_hot <= BROADCAST_GROUPS else hot
-                rest = F.lit("") if text else F.lit(0).cast("long")
-                cut = _cell(value, n, low, high, text, block_rows)
-                df = (
-                    df.join(side, keys, "left")
-                    .withColumn(name, F.when(n.isNull(), rest).otherwise(cut))
-                    .drop("_n", "_low", "_high")
-                )
-            cells.append(name)
-            keys.append(name)
-    return df, cells
-
-
-def _cell(value, n, low, high, text: bool, block_rows: int) -> Column:
-    """Where a value falls within the range of its hot group."""
-    if text:
-        return F.substr(value, _shared_prefix(low, high) + 1, F.lit(2))
-    parts = F.ceil(n / block_rows) * 4
-    return F.floor((value - low) / (high - low) * parts)
-
-
-def _number(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column).cast("double")
-    return F.col(column).cast("double")
-
-
-def _shared_prefix(low: Column, high: Column) -> Column:
-    """Length of the longest common prefix of two strings."""
-    positions = F.sequence(F.lit(0), F.least(F.length(low), F.length(high)))
-    return F.array_max(F.filter(positions, lambda i: F.left(low, i) == F.left(high, i)))

@@ -30,17 +30,32 @@ def as_map(df, key, value):
 
 @pytest.mark.parametrize("group", [["g"], []])
 @pytest.mark.parametrize("order", [["ts", "id"], ["word", "id"], ["id"]])
-@pytest.mark.parametrize("narrow", [True, False])
-def test_rank_of_hot_groups(rows, group, order, narrow):
+def test_rank_of_hot_groups(rows, group, order):
     window = Window.partitionBy(*group).orderBy(*order)
     expected = as_map(rows.withColumn("r", F.row_number().over(window)), ["id"], "r")
-    got = ordered.rank(rows, group, order, "r", block_rows=20, narrow=narrow)
+    got = ordered.rank(rows, group, order, "r", block_rows=20)
     assert as_map(got, ["id"], "r") == expected
 
 
-def test_cells_of_hot_groups_are_small(rows):
-    celled, cells = ordered._cells(rows.select("g", "word", "id"), ["g"], ["word", "id"], 20)
-    assert celled.groupBy("g", *cells).count().agg(F.max("count")).first()[0] <= 20
+@pytest.mark.parametrize("block_rows", [7, 1000])
+def test_null_and_repeated_keys_keep_every_row(spark, block_rows):
+    """Null groups, null order values and repeated keys: one result, hot or not."""
+    data = [(g, o, i) for i, (g, o) in enumerate(
+        [(None, k) for k in range(20)] + [("a", None)] * 15 + [("a", 3)] * 15 + [("b", k % 4) for k in range(20)]
+    )]
+    df = spark.createDataFrame(data, "g string, o int, id long").coalesce(1).cache()
+    got = history.previous(df, ["g"], ["o"], {"p": "id"}, block_rows=block_rows)
+    last, want = {}, {}
+    for g, o, i in sorted(data, key=lambda r: (r[0] or "", r[1] is not None, r[1] or 0, r[2])):
+        want[i] = last.get(g)
+        last[g] = i
+    assert got.count() == len(data)
+    assert {r["id"]: r["p"] for r in got.collect()} == want
+    ranked = ordered.rank(df, ["g"], ["o"], "r", block_rows=block_rows)
+    assert ranked.columns == ["g", "o", "id", "r"]
+    for g in (None, "a", "b"):
+        n = sum(x[0] == g for x in data)
+        assert sorted(r["r"] for r in ranked.collect() if r["g"] == g) == list(range(1, n + 1))
 
 
 def test_previous_of_hot_groups(rows):
