@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +36,13 @@ WIDTH = 4
 PERCENT = 85
 WHITE = b" \t\n\r\x0b\x0c"
 
-# Columns of the frequency sketch per order: 2 MB each.
-SKETCH = 1 << 19
+# Columns of the frequency sketch per order: 1 MB each.
+SKETCH = 1 << 18
 ORDERS = 3
 # Members of one block of an index list.
 BLOCK = 256
-# Bits of a filter that keeps rows from being shuffled: 8 MB.
-FILTER_BITS = 1 << 26
+# Bits of a filter that keeps rows from being shuffled: 4 MB.
+FILTER_BITS = 1 << 25
 
 
 def most_missing(size, percent: int = PERCENT):
@@ -56,8 +57,8 @@ def shingles(text: str | None, width: int = WIDTH) -> frozenset:
 
 
 @lru_cache(maxsize=256)
-def _cached(text: str, width: int) -> frozenset:
-    return shingles(text, width)
+def _unpacked(text: bytes, width: int) -> frozenset:
+    return shingles(zstandard.ZstdDecompressor().decompress(text).decode(), width)
 
 
 class Tokens:
@@ -97,63 +98,75 @@ def tree_merged(rows, merge, empty: np.ndarray) -> np.ndarray:
     return empty if merged is None else merged
 
 
-def frequency_sketch(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
-    """Counts of all tokens in ``ORDERS`` rows of ``SKETCH`` columns.
+def survey(docs: DataFrame, width: int) -> DataFrame:
+    """(id, missing, n, s1, s2) of every row and, in rows of their own, ``counts``.
 
-    Each task adds up its own; the arrays are then added in a tree, so the driver
-    and every task hold a few arrays of a fixed size.
+    ``n``, ``s1``, ``s2``: size and two hashes of the set. Each task adds up how many
+    of its sets have a token, in ``ORDERS`` rows of ``SKETCH`` columns.
     """
 
     def run(frames):
         tokens, counts = Tokens(width), np.zeros((ORDERS, SKETCH), dtype=np.float32)
         for frame in frames:
             for piece in batches([frame], "text"):
-                found = np.concatenate([*tokens(piece["text"].tolist()), np.zeros(0, dtype=np.uint64)])
+                sets = [np.unique(t) for t in tokens(piece["text"].tolist())]
+                found = np.concatenate([*sets, np.zeros(0, dtype=np.uint64)])
                 for order in range(ORDERS):
                     counts[order] += np.bincount(_columns(found, order), minlength=SKETCH)
-        yield pd.DataFrame({"counts": [counts.tobytes()]})
+                with np.errstate(over="ignore"):
+                    yield pd.DataFrame(
+                        {
+                            "id": piece["id"].to_numpy(),
+                            "missing": piece["missing"].to_numpy(),
+                            "n": [len(own) for own in sets],
+                            "s1": np.array([mix(own).sum() for own in sets], dtype=np.uint64).view(np.int64),
+                            "s2": np.array([mix(own ^ np.uint64(0x5555)).sum() for own in sets], dtype=np.uint64).view(np.int64),
+                            "counts": None,
+                        }
+                    )
+        yield pd.DataFrame({"id": [0], "missing": [True], "n": [0], "s1": [0], "s2": [0], "counts": [counts.tobytes()]})
+
+    schema = "id long, missing boolean, n long, s1 long, s2 long, counts binary"
+    return docs.select("id", "missing", "text").mapInPandas(run, schema)
+
+
+def frequency_sketch(counts: DataFrame) -> np.ndarray:
+    """Sum of the tasks' counts, added in a tree: the driver and every task hold a
+    few arrays of a fixed size."""
+    empty = np.zeros(ORDERS * SKETCH, dtype=np.float32)
+    return tree_merged(counts.rdd, np.add, empty).reshape(ORDERS, SKETCH)
 
-    rows = texts.select("text").mapInPandas(run, "counts binary").rdd
-    return tree_merged(rows, np.add, np.zeros(ORDERS * SKETCH, dtype=np.float32)).reshape(ORDERS, SKETCH)
 
+def prefixes(docs: DataFrame, sketch, copies, width: int, percent: int) -> DataFrame:
+    """(id, n, tokens, others, copy) of rows with a key and a word.
+
+    ``tokens``: the prefix under the first order, in order. ``others``: short hashes
+    of the prefixes under the other orders, one array per order. ``copy``: whether
+    the bit filter ``copies`` has the id.
+    """
 
-def _prefix_rows(piece: pd.DataFrame, tokens: Tokens, counts: np.ndarray, percent: int):
-    for key, missing, found in zip(piece["id"], piece["missing"], tokens(piece["text"].tolist()), strict=True):
-        own = np.unique(found)
-        n = len(own)
-        if not n:
-            yield key, missing, 0, 0, 0, [], []
-            continue
-        length = most_missing(n, percent) + 1
-        kept = []
+    def row(key, found, copy):
+        counts, own = sketch.value, np.unique(found)
+        length, kept = most_missing(len(own), percent) + 1, []
         for order in range(ORDERS):
             count = np.minimum(counts[order][_columns(own, order)], 2.0**23).astype(np.uint64)
             rank = count << np.uint64(40) | mix(own + np.uint64(91 + order)) >> np.uint64(24)
             first = np.argpartition(rank, length - 1)[:length]
             kept.append(own[first[np.argsort(rank[first])]])
-        with np.errstate(over="ignore"):
-            s1, s2 = mix(own).sum(), mix(own ^ np.uint64(0x5555)).sum()
         short = [np.unique((k >> np.uint64(48)).astype(np.uint16).view(np.int16)) for k in kept[1:]]
-        yield key, missing, n, s1.astype(np.int64), s2.astype(np.int64), kept[0].view(np.int64), short
-
-
-def prefixes(docs: DataFrame, sketch, width: int, percent: int) -> DataFrame:
-    """(id, missing, n, s1, s2, tokens, others) of every row.
-
-    ``n``, ``s1``, ``s2``: size and two hashes of the set. ``tokens``: the prefix
-    under the first order, in order. ``others``: short hashes of the prefixes under
-    the other orders, one array per order.
-    """
+        return key, len(own), kept[0].view(np.int64), short, copy
 
     def run(frames):
-        tokens, counts = Tokens(width), sketch.value
+        tokens = Tokens(width)
         for frame in frames:
             for piece in batches([frame], "text"):
-                rows = list(_prefix_rows(piece, tokens, counts, percent))
-                yield pd.DataFrame(rows, columns=["id", "missing", "n", "s1", "s2", "tokens", "others"])
+                known = passes(copies.value, piece["id"].to_numpy())
+                found = zip(piece["id"].tolist(), tokens(piece["text"].tolist()), known.tolist(), strict=True)
+                rows = [row(*x) for x in found if len(x[1])]
+                yield pd.DataFrame(rows, columns=["id", "n", "tokens", "others", "copy"])
 
-    schema = "id long, missing boolean, n long, s1 long, s2 long, tokens array<long>, others array<array<short>>"
-    return docs.select("id", "missing", "text").mapInPandas(run, schema)
+    schema = "id long, n long, tokens array<long>, others array<array<short>>, copy boolean"
+    return docs.where("not missing").select("id", "text").mapInPandas(run, schema)
 
 
 def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS):
@@ -284,10 +297,13 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
     known = bit_filter(wanted, "id")
 
     def only_known(frames):
+        codec = zstandard.ZstdCompressor(level=3)
         for frame in frames:
-            yield frame[passes(known.value, frame["id"].to_numpy())]
+            own = frame[passes(known.value, frame["id"].to_numpy())]
+            yield own.assign(text=[codec.compress((t or "").encode()) for t in own["text"]])
 
-    texts = docs.where("not missing").select("id", "text").mapInPandas(only_known, "id long, text string")
+    # Compressed texts: they travel once per pair.
+    texts = docs.where("not missing").select("id", "text").mapInPandas(only_known, "id long, text binary")
     texts = written(texts.join(wanted, "id"), "jaccard-texts")
     a, b = (texts.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
 
@@ -295,7 +311,7 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
         for frame in frames:
             keep = []
             for left, right in zip(frame["text_a"], frame["text_b"], strict=True):
-                x, y = _cached(left, width), _cached(right, width)
+                x, y = _unpacked(bytes(left), width), _unpacked(bytes(right), width)
                 common = len(x & y)
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield frame.loc[keep, ["a", "b"]]
@@ -316,14 +332,21 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WI
         F.col(key).isNull().alias("missing"),
         F.col(text).alias("text"),
     )
-    sketch = spark.sparkContext.broadcast(frequency_sketch(docs, width))
-    found = written(prefixes(docs, sketch, width, percent), "jaccard-sets")
+    surveyed = written(survey(docs, width), "jaccard-survey")
+    sketch = spark.sparkContext.broadcast(frequency_sketch(surveyed.where("counts is not null").select("counts")))
+    found = surveyed.where("counts is null").drop("counts")
     with_words = found.where("n > 0 and not missing")
     # Equal sets are one node, that of the smallest key.
     first = with_words.groupBy("s1", "s2").agg(F.min("id").alias("first"))
     copies = with_words.select("id", "s1", "s2").join(first, ["s1", "s2"]).where("id != first").select("id", "first")
     copies = written(copies.distinct(), "jaccard-copies")
-    sets = with_words.join(copies.select("id"), "id", "left_anti")
+    # A key with several texts may be a copy by one and the first by another.
+    only_copies = copies.select("id").join(first.select(F.col("first").alias("id")), "id", "left_anti")
+    only_copies = written(only_copies, "jaccard-only-copies")
+    # Only rows that the filter takes for copies are shuffled to make sure.
+    marked = written(prefixes(docs, sketch, bit_filter(only_copies, "id"), width, percent), "jaccard-sets")
+    unsure = marked.where("copy").join(only_copies, "id", "left_anti")
+    sets = marked.where("not copy").unionByName(unsure).drop("copy")
     members = index(sets)
     links = written(verify(star_pairs(members, percent), docs, sets, width, percent), "jaccard-links")
     groups = components(links, "jaccard-stars")

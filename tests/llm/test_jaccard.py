@@ -72,5 +72,8 @@ def test_odd_rows(spark):
 
 def test_a_repeated_key_is_one_document(spark):
     x, y = "a b c d e f g h", "k l m n o p q r"
-    df = spark.createDataFrame([(5, x), (5, y), (1, x), (9, y)], "doc_id long, text string")
-    assert {r.component_id for r in jaccard.link(df).collect()} == {1}
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, x), (5, near), (1, x), (9, y), (12, near + " end"), (9, y)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.component_id) for r in jaccard.link(df).collect()}
+    assert found == {(5, 1), (1, 1), (12, 1), (9, 9)}
