@@ -11,10 +11,10 @@ from revloom.plans.markup_sql import plain_text_sql
 
 
 def _labelled(spark, sf):
-    """Documents with labels; unlabelled ones have no usable content."""
+    """Documents with their labels, if any; every tenth has no content."""
     docs = views.table(spark, sf, "documents").select("doc_id", "text")
     joined = docs.join(views.table(spark, sf, "labels"), "doc_id", "left")
-    return joined.withColumn("content", F.when(F.col("quality").isNotNull(), F.col("text")))
+    return joined.withColumn("content", F.when(F.col("doc_id") % 10 != 0, F.col("text")))
 
 
 def missing_defaults(spark, sf):
@@ -42,12 +42,12 @@ def markup_to_text(spark, sf):
 
 def comment_to_text(spark, sf):
     talk = views.table(spark, sf, "conversations")
-    comment = F.when(F.col("role") != "system", F.col("text"))
+    comment = F.when(F.col("conv_id") % 10 != 0, F.col("text"))
     return talk.select("conv_id", "turn", plain_text(comment).alias("comment_plaintext"))
 
 
 _LABELLED_SQL = """labelled AS (
-  SELECT doc_id, CASE WHEN quality IS NOT NULL THEN text END AS content, quality, toxic
+  SELECT doc_id, CASE WHEN doc_id % 10 <> 0 THEN text END AS content, quality, toxic
   FROM documents LEFT JOIN labels USING (doc_id))"""
 
 QUERIES = {
@@ -72,6 +72,6 @@ WHERE content IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL""",
 FROM labelled""",
     "markup_to_text": f"SELECT page_id, {plain_text_sql('html')} AS plain FROM pages",
     "comment_to_text": f"""SELECT conv_id, turn,
-  {plain_text_sql("CASE WHEN role <> 'system' THEN text END")} AS comment_plaintext
+  {plain_text_sql("CASE WHEN conv_id % 10 <> 0 THEN text END")} AS comment_plaintext
 FROM conversations""",
 }

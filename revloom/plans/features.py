@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from revloom.operators import features, split
 from revloom.plans import views
-from revloom.session import scratch_path
+from revloom.session import scratch_path, written
 from revloom.sources import store
 
 
@@ -39,20 +39,20 @@ def tf_fixed_vocab(spark, sf):
 
 def tf_train_vocab(spark, sf):
     docs = split.holdout_split(_documents(spark, sf), "doc_id")
-    tf = features.term_counts(docs, "doc_id", "text", keep=["split"])
+    tf = written(features.term_counts(docs, "doc_id", "text", keep=["split"]), "counts")
     vocab = features.fit_vocabulary(tf.where(F.col("split") == "train"))
     return features.restrict(tf, vocab, "doc_id")
 
 
 def scaled_tf(spark, sf):
-    tf = _unigrams(spark, sf)
+    tf = written(_unigrams(spark, sf), "counts")
     scaled = features.scale(tf, features.fit_scale(tf, _documents(spark, sf)), "doc_id")
     return scaled.withColumn("tf_scaled", F.round("tf_scaled", 6))
 
 
 def scaled_tf_by_shard(spark, sf):
     docs = _documents(spark, sf).withColumn("shard", F.col("doc_id") % 2)
-    tf = features.term_counts(docs, "doc_id", "text", keep=["shard"])
+    tf = written(features.term_counts(docs, "doc_id", "text", keep=["shard"]), "counts")
     scaled = features.scale(tf, features.fit_scale(tf, docs, ["shard"]), "doc_id", ["shard"])
     return scaled.withColumn("tf_scaled", F.round("tf_scaled", 6))
 
@@ -110,7 +110,7 @@ QUERIES = {
 
 def tf_sql(name: str, relation: str, keys: str, high: int = 1) -> str:
     grams = views.ngrams_sql("w") if high == 2 else "w"
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT {keys}, term, count(*) AS tf FROM (
     SELECT {keys}, unnest({grams}) AS term FROM (
       SELECT {keys}, {views.words_sql('text')} AS w FROM {relation}))

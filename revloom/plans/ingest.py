@@ -13,7 +13,6 @@ from revloom.session import scratch_path
 from revloom.sources import ledger, links, pages, responses, store
 from revloom.streaming.intake import run_intake
 
-MAX_PAGE_BYTES = 160_000
 FIRST_N = 5
 
 
@@ -62,10 +61,26 @@ def revision_scan(spark, sf):
 
 def size_guard(spark, sf):
     docs = views.table(spark, sf, "documents")
-    kept = pages.within_size(docs, "source", "text", MAX_PAGE_BYTES)
+    # The mean size, so some pages are above the limit at every scale.
+    total = pages.page_sizes(docs, "source", "text").agg(F.expr("sum(page_bytes) div count(*)"))
+    kept = pages.within_size(docs, "source", "text", total.scalar())
     return kept.select(F.col("source").alias("page"), F.col("doc_id").alias("rev"), "page_bytes")
 
 
+def intake_counts(spark, sf):
+    """Stored pages of which some are broken and some have no revisions."""
+    number = F.substring("title", 4, 9).cast("int") % 4
+    stored = F.to_json(F.struct("title", "offset", "revisions"))
+    line = (
+        F.when(number == 0, F.substring(stored, 1, 60))
+        .when(number == 1, F.to_json(F.struct("title", "offset")))
+        .otherwise(stored)
+    )
+    path = scratch_path(spark, "mixed")
+    _nested(spark, sf).where(F.col("offset") == 0).select(line).write.text(path)
+    return pages.intake_counts(spark, path, one_page_per_file=False)
+
+
 def first_n_pages(spark, sf):
     return pages.first_files(views.rev(spark, sf), FIRST_N, "page").select(
         "page", "rev", F.length("content").cast("long").alias("chars")
@@ -196,6 +211,7 @@ QUERIES = {
     "page_scan": page_scan,
     "revision_scan": revision_scan,
     "size_guard": size_guard,
+    "intake_counts": intake_counts,
     "first_n_pages": first_n_pages,
     "incremental_skip": incremental_skip,
     "incremental_stream": incremental_stream,
@@ -247,10 +263,13 @@ FROM documents GROUP BY source""",
   CAST(strlen(text) AS BIGINT) AS size, md5(text) AS content_md5,
   CAST(coalesce(len(tags), 0) AS BIGINT) AS n_tags
 FROM documents LEFT JOIN tags USING (doc_id)""",
-    "size_guard": f"""SELECT source AS page, doc_id AS rev, page_bytes FROM documents
+    "size_guard": """SELECT source AS page, doc_id AS rev, page_bytes FROM documents
 JOIN (SELECT source, CAST(sum(strlen(text)) AS BIGINT) AS page_bytes
       FROM documents GROUP BY source) USING (source)
-WHERE page_bytes <= {MAX_PAGE_BYTES}""",
+WHERE page_bytes <= (SELECT sum(strlen(text)) // count(DISTINCT source) FROM documents)""",
+    "intake_counts": """SELECT count(*) AS stored, count(*) FILTER (k > 1) AS kept,
+  0 AS too_large, count(*) FILTER (k = 0) AS corrupt, count(*) FILTER (k = 1) AS without_revisions
+FROM (SELECT DISTINCT source, CAST(substr(source, 4) AS INTEGER) % 4 AS k FROM documents)""",
     "first_n_pages": f"""SELECT source AS page, doc_id AS rev, length(text) AS chars FROM documents
 WHERE source IN (SELECT DISTINCT source FROM documents ORDER BY source LIMIT {FIRST_N})""",
     "incremental_skip": """SELECT doc_id, source FROM documents

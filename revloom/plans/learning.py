@@ -108,6 +108,41 @@ def reverted_from_diff(spark, sf):
     return evaluate.confusion(evaluate.predictions(judged, "diff", "label", "prediction"))
 
 
+def nb_scaled(spark, sf):
+    """The whole chain on diffs: vocabulary of another corpus, counts, scaling per
+    shard, features stored by shard with their label, a classifier over both shards.
+    """
+    edits = diff.diff_text(
+        views.rev_tagged(spark, sf), ["page"], ["rev"], {"content_diff": "content"}, carry=("tags",)
+    )
+    docs = edits.select(
+        F.col("rev").alias("doc_id"),
+        F.col("content_diff").alias("text"),
+        label(F.col("tags"), "medium").alias("label"),
+        (F.col("rev") % 2).alias("shard"),
+    )
+    docs = written(split.holdout_split(docs, "doc_id"), "edits")
+    items = views.table(spark, sf, "benchmark")
+    vocab = features.fit_vocabulary(features.term_counts(items, "item_id", "text", 1, 2))
+    keep = ["label", "split", "shard"]
+    tf = features.term_counts(docs, "doc_id", "text", 1, 2, keep=keep)
+    tf = written(features.restrict(tf, vocab, "doc_id"), "counts")
+    scaled = features.scale(tf, features.fit_scale(tf, docs, ["shard"]), "doc_id", ["shard"])
+    path = scratch_path(spark, "scaled")
+    store.write_features(scaled.drop("tf").withColumnRenamed("tf_scaled", "tf"), path)
+    stored = store.read_features(spark, path)
+    train = _part(docs, "train")
+    parts = [
+        bayes.count(_part(stored, "train").where(F.col("shard") == s), train.where(F.col("shard") == s), "label")
+        for s in (0, 1)
+    ]
+    model = bayes.fitted(bayes.over_vocabulary(bayes.add(parts), vocab))
+    truth = _part(docs, "test").select("doc_id", "label")
+    seen = _part(stored, "test").select("doc_id", "term", "tf")
+    judged = bayes.predict(model, seen, truth, "doc_id")
+    return evaluate.confusion(evaluate.predictions(judged, "scaled diff", "label", "prediction"))
+
+
 def _vectors(spark, sf, high):
     docs = _labelled(spark, sf)
     return models.with_terms(docs, "text", 1, high)
@@ -138,11 +173,11 @@ def mlp_classifier(spark, sf):
 
 
 def doc_embedding(spark, sf):
-    """Fit, save, load and apply; fewer passes than the default of fit_embedding."""
+    """Fit on all documents, save, load and apply."""
     docs = views.table(spark, sf, "documents")
     tagged = tokens.tagged(docs, "doc_id", "text", "word").select("doc_id", "tag", "words")
     path = scratch_path(spark, "embedding")
-    store.save_model(models.fit_embedding(tagged, passes=2), path)
+    store.save_model(models.fit_embedding(tagged), path)
     embedded = models.embed(Word2VecModel.load(path), tagged)
     numbers = vector_to_array("vector")
     squares = F.aggregate(numbers, F.lit(0.0), lambda total, x: total + x * x)
@@ -175,6 +210,7 @@ QUERIES = {
     "metrics": metrics,
     "model_report": model_report,
     "reverted_from_diff": reverted_from_diff,
+    "nb_scaled": nb_scaled,
 }
 
 # --- SQL -------------------------------------------------------------------------
@@ -229,6 +265,21 @@ _DIFF_DOCS_SQL = f"""docs AS (
     (SELECT tags FROM tags t WHERE t.doc_id = d.doc_id), ['mw-reverted', 'Reverted'])
     AS INTEGER), 0) AS label
   FROM (SELECT rev AS doc_id, diff_text FROM rev_diff) d)"""
+_SCALED_SQL = [
+    tf_sql("bench", "benchmark", "item_id", 2),
+    "vocab AS (SELECT DISTINCT term FROM bench)",
+    tf_sql("counted", "sharded", "doc_id, label, split, shard", 2),
+    "known AS (SELECT * FROM counted WHERE term IN (SELECT term FROM vocab))",
+    """stds AS (
+  SELECT shard, term, sqrt(greatest(sum(tf * tf) / any_value(n)
+    - (sum(tf) / any_value(n)) * (sum(tf) / any_value(n)), 0)) AS std
+  FROM known JOIN (SELECT shard, count(*) AS n FROM sharded GROUP BY shard) USING (shard)
+  GROUP BY shard, term)""",
+    """tf AS MATERIALIZED (
+  SELECT doc_id, label, split, term, tf / CASE WHEN std > 0 THEN std ELSE 1 END AS tf
+  FROM known JOIN stds USING (shard, term))""",
+    *[sql for sql in _MODEL_SQL[1:] if not sql.startswith("vocab")],
+]
 _ROUNDED_MODEL_SQL = views.with_sql(LABELLED_SQL, *_MODEL_SQL) + (
     "SELECT label, term, round(log_prob, 6) AS log_prob, round(log_prior, 6) AS log_prior FROM model"
 )
@@ -249,6 +300,18 @@ ORACLE = {
         _COUNTS_SQL,
     )
     + "SELECT *, fp + fn AS mistakes FROM counts",
+    "nb_scaled": views.with_sql(
+        views.TAGS_SQL,
+        views.REV_SQL,
+        diff_text_cte("rev"),
+        _DIFF_DOCS_SQL,
+        "sharded AS (SELECT *, doc_id % 2 AS shard FROM docs)",
+        *_SCALED_SQL,
+        *_PREDICT_SQL,
+        "judged AS (SELECT 'scaled diff' AS model, label AS truth, prediction FROM predicted)",
+        _COUNTS_SQL,
+    )
+    + "SELECT *, fp + fn AS mistakes FROM counts",
     "confusion": views.with_sql(*_EVALUATED_SQL) + "SELECT *, fp + fn AS mistakes FROM counts",
     "metrics": views.with_sql(*_EVALUATED_SQL)
     + """SELECT model, (tp + tn) / (tp + fp + tn + fn) * 100 AS accuracy,

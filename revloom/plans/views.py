@@ -46,16 +46,15 @@ def rev_tagged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def growing(df: DataFrame, page: str, text: str) -> DataFrame:
-    """Four growing revisions of every text with at least four segments."""
+    """Four growing revisions of every text; a null text counts as empty."""
     size = F.size("_segments")
     k = F.col("rev")
     upto = F.floor((k * size + 3) / 4)
     start = F.slice("_segments", F.lit(1), (k - 1).cast("int"))
-    rest = F.slice("_segments", (k + 1).cast("int"), (upto - k).cast("int"))
+    rest = F.slice("_segments", (k + 1).cast("int"), F.greatest(upto - k, F.lit(0)).cast("int"))
     edit = F.array(F.concat(F.lit("edit "), k.cast("string"), F.lit(". ")))
     return (
-        df.select(F.col(page).alias("page"), tx.segments(F.col(text)).alias("_segments"))
-        .where(size >= 4)
+        df.select(F.col(page).alias("page"), tx.segments(F.coalesce(text, F.lit(""))).alias("_segments"))
         .withColumn("rev", F.explode(F.expr("sequence(1L, 4L)")))
         .select("page", "rev", F.concat_ws("\n", start, edit, rest).alias("content"))
     )
@@ -100,12 +99,12 @@ def ngrams_sql(tokens: str) -> str:
 
 def growing_sql(name: str, relation: str, page: str, text: str) -> str:
     return f"""{name}_base AS (
-  SELECT {page} AS page, {segments_sql(text)} AS s FROM {relation}),
+  SELECT {page} AS page, {segments_sql(f"coalesce({text}, '')")} AS s FROM {relation}),
 {name} AS (
   SELECT page, k AS rev, array_to_string(
            list_concat(s[1:k - 1], ['edit ' || k || '. '], s[k + 1:(k * len(s) + 3) // 4]),
            chr(10)) AS content
-  FROM {name}_base, (SELECT unnest(range(1, 5)) AS k) WHERE len(s) >= 4)"""
+  FROM {name}_base, (SELECT unnest(range(1, 5)) AS k))"""
 
 
 TAGS_SQL = """tags AS (

@@ -47,10 +47,13 @@ def assemble(batches: DataFrame) -> DataFrame:
 
     Batches after the first one that announces no further batch are ignored. A
     title without such a last batch is incomplete and, like one with an invalid
-    batch, yields nothing. What decides this is one small row per batch, which is
-    written; revisions are never gathered per title.
+    batch or a gap between the numbers of its batches, yields nothing. A batch that
+    is stored more than once counts once (the body that sorts first). What decides
+    this is one small row per batch, which is written; revisions are never gathered
+    per title.
     """
-    judged = classify(batches)
+    once = batches.groupBy("title", "batch_no").agg(F.min("body").alias("body"))
+    judged = classify(once)
     heads = written(
         judged.select(
             "title",
@@ -62,14 +65,23 @@ def assemble(batches: DataFrame) -> DataFrame:
         "batches",
     )
     ends = heads.groupBy("title").agg(
+        F.min("batch_no").alias("_start"),
         F.min(F.when(~F.col("more"), F.col("batch_no"))).alias("_last"),
         F.min(F.when(~F.col("valid"), F.col("batch_no"))).alias("_broken"),
     )
     whole = ends.where(
         F.col("_last").isNotNull()
         & (F.col("_broken").isNull() | (F.col("_broken") > F.col("_last")))
-    ).select("title", "_last")
+    ).select("title", "_start", "_last")
     used = heads.join(whole, "title").where(F.col("batch_no") <= F.col("_last"))
+    # Numbers are distinct, so as many as from start to last leave no gap.
+    gapless = (
+        used.groupBy("title")
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("_last").alias("_l"), F.first("_start").alias("_s"))
+        .where(F.col("_n") == F.col("_l") - F.col("_s") + 1)
+        .select("title")
+    )
+    used = used.join(gapless, "title", "left_semi")
     placed = ordered.running_total(
         used.select("title", "batch_no", "size"), ["title"], ["batch_no"], F.col("size"), "_upto"
     ).select("title", "batch_no", (F.col("_upto") - F.col("size")).alias("_first"))

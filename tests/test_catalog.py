@@ -17,7 +17,8 @@ EAGER = LEARNED | {
     "revision_scan",
     "features_labels_join",
     "ledger_first_wins",
-    "vocabulary",
+    "intake_counts",
+    "nb_scaled",
 }
 
 

@@ -186,8 +186,17 @@ def test_embedding(spark):
     assert vectors[1] == vectors[3] and vectors[1].size == 8
 
 
-def test_embedding_refuses_a_table_that_cannot_fit(spark, monkeypatch):
-    monkeypatch.setattr(models, "MAX_EMBEDDING", 10)
-    df = spark.createDataFrame([(1, "aa bb cc " * 5)], "doc_id long, text string")
-    with pytest.raises(ValueError, match="least_count"):
-        models.fit_embedding(tokens.tagged(df, "doc_id", "text", "word"), dimensions=8)
+def test_embedding_has_one_size_for_any_vocabulary(spark):
+    df = spark.createDataFrame([(i, f"w{i} w{i} w{i % 5}") for i in range(200)], "doc_id int, text string")
+    tagged = tokens.tagged(df, "doc_id", "text", "word")
+    model = models.fit_embedding(tagged, dimensions=8, passes=1, least_count=1, partitions=2, buckets=16)
+    assert model.getVectors().count() <= 16
+    rows = models.embed(model, tagged, buckets=16)
+    assert rows.count() == 200 and rows.columns == [*tagged.columns, "vector"]
+
+
+def test_linear_keeps_a_column_that_does_not_vary(spark):
+    train = spark.createDataFrame([(1, "good same"), (0, "bad same")] * 10, "label int, text string")
+    fitted = models.fit_linear(models.with_terms(train, "text"), width=64)
+    constant = fitted.transform(models.with_terms(spark.createDataFrame([(1, "same")], train.schema), "text"))
+    assert sorted(constant.head()["features"].values) == [1.0]

@@ -194,3 +194,24 @@ def test_intake_takes_each_file_once(spark, folder, tmp_path):
     assert rows.count() == 6
     diffs = {(r["title"], r["pos"]): r["content_diff"] for r in rows.collect()}
     assert diffs["A", 0] == "+b. \n" and diffs["A", 1] == ""
+
+
+def test_left_out_pages_are_counted(spark, folder):
+    from pathlib import Path
+
+    Path(folder, "9.json").write_text('{"title": "broken", "revisions": [{"us')
+    row = pages.intake_counts(spark, folder, max_bytes=2000).head()
+    assert row.asDict() == {"stored": 5, "kept": 2, "too_large": 1, "corrupt": 1, "without_revisions": 1}
+
+
+def batch(title, number, texts, more):
+    body = {"query": {"pages": [{"revisions": [revision(t) for t in texts]}]}}
+    return (title, number, json.dumps(body | ({"continue": {"rvcontinue": "x"}} if more else {})))
+
+
+def test_gaps_and_repeated_batches(spark):
+    rows = [batch("gap", 0, "a", True), batch("gap", 2, "b", False)]
+    rows += [batch("twice", 0, "cd", True)] * 2 + [batch("twice", 1, "e", False)] * 3
+    df = spark.createDataFrame(rows, "title string, batch_no long, body string")
+    got = sorted((r["title"], r["pos"], r["revision"]["slots"]["main"]["content"]) for r in responses.assemble(df).collect())
+    assert got == [("twice", 0, "c"), ("twice", 1, "d"), ("twice", 2, "e")]

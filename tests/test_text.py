@@ -76,6 +76,16 @@ def test_each_drops_empty_and_null(spark):
         ("a<ref name=x/>b<ref>z</ref>c", "abc"),
         ("x{| class=t\n| cell\n|}y", "xy"),
         ("1 &lt; 2 &amp;&nbsp;3", "1 < 2 & 3"),
+        ("{{a" * 6 + "}}" * 6 + "x", "x"),
+        ("a{{1|" * 20 + "z" + "}}b" * 20, "a" + "b"),
+        ("{{open {{in}} text", "{{open  text"),
+        ("shut}} {{a}}x}}", "shut}} x}}"),
+        ("{{{three}}} {{x {y} z}}w", "} w"),
+        ("{|a {|b|} c|}d", "d"),
+        ("[[File:a.jpg|thumb|left|caption]]!", "caption!"),
+        ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2"),
+        ("a <br/>b</p> <!DOCTYPE html>c", "a b c"),
+        ("&#65;&#x42;&#228;&#128512;&#0;&#xD800;", "ABä😀&#0;&#xD800;"),
     ],
 )
 def test_plain_text(spark, markup, expected):
