@@ -8,8 +8,8 @@ along one path to the root, until the root is infinite. A pre-token of n bytes t
 O(n log n) steps, whatever it contains.
 
 Texts are cut into chunks (a run of white space and the run of other characters
-after it); no pre-token crosses a chunk, so a worker encodes each distinct chunk
-once and keeps the ids in a bounded table.
+after it); no pre-token crosses a chunk, so a worker keeps the ids of recent chunks,
+and of recent pre-tokens, in tables of bounded size.
 """
 
 from __future__ import annotations
@@ -20,16 +20,15 @@ import unicodedata
 from array import array
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm.common import free_name, table
+from revloom.llm.common import free_name, release, slices, table
 
-# Entries in either half of a worker's table of chunks.
-CACHE_ENTRIES = 300_000
+# Entries in either half of a worker's tables of chunks and of pre-tokens.
+CACHE_ENTRIES = 150_000
 # Chunks longer than this many characters are encoded each time they occur.
 CACHED_CHARS = 64
 
@@ -170,13 +169,15 @@ class Codec:
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
         self.pattern, self.chunks, self.classes = regex.compile(PATTERN), re.compile(CHUNK), _Classes()
         self.known = _Known(self._encode_chunk)
+        self.parts = _Known(self._encode_part)
 
     def _encode_chunk(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for match in self.pattern.finditer(chunk.translate(self.classes)):
-            part = chunk[match.start() : match.end()].encode()
-            ids += merge_all([self.first[b] for b in part], self.ranks, self.made)
-        return array("i", ids).tobytes()
+        spans = [m.span() for m in self.pattern.finditer(chunk.translate(self.classes))]
+        return b"".join([self.parts[chunk[start:end]] for start, end in spans])
+
+    def _encode_part(self, part: str) -> bytes:
+        symbols = [self.first[b] for b in part.encode()]
+        return array("i", merge_all(symbols, self.ranks, self.made)).tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the whole text; a special token's name in the text is that token."""
@@ -222,13 +223,14 @@ def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids") -> D
 
     def run(frames):
         codec = _codec(vocabulary)
-        for frame in frames:
+        for frame in slices(frames):
             column = frame.column(frame.schema.get_field_index(text))
             found = [codec.encode(t) for t in column.to_pylist()]
             ends = np.cumsum([0, *map(len, found)], dtype=np.int64).astype(np.int32)
             values = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
             yield pa.RecordBatch.from_arrays([*frame.columns, lists], names=[*frame.schema.names, ids])
+        release()
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{columns}, `{ids}` array<int>")
@@ -237,12 +239,19 @@ def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids") -> D
 def decode(df: DataFrame, vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the text that ``ids`` stand for; null ids give null."""
 
-    @F.pandas_udf("string")
-    def run(column: pd.Series) -> pd.Series:
+    text = free_name(df, text)
+
+    def run(frames):
         codec = _codec(vocabulary)
-        return pd.Series([None if x is None else codec.decode(x.tolist()) for x in column], dtype=object)
+        for frame in slices(frames):
+            column = frame.column(frame.schema.get_field_index(ids))
+            found = [codec.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in column]
+            strings = pa.array(found, pa.string())
+            yield pa.RecordBatch.from_arrays([*frame.columns, strings], names=[*frame.schema.names, text])
+        release()
 
-    return df.withColumn(free_name(df, text), run(ids))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(run, f"{columns}, `{text}` string")
 
 
 def vocabulary_path() -> str:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,27 @@ def batches(frames: Iterator[pd.DataFrame], column: str, limit: int = 1 << 21):
             start = cut
 
 
+def slices(frames: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in pieces of few rows, so that few texts are held as objects."""
+    for frame in frames:
+        for at in range(0, frame.num_rows, rows):
+            yield frame.slice(at, rows)
+
+
+def release() -> None:
+    """Give memory that a finished task has freed back to the system.
+
+    A worker waits for the next task in the same process; what it keeps is missing
+    to the JVM beside it.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library; nothing to do
+
+
 # Odd multipliers of a 64-bit polynomial hash and the finaliser that follows it.
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))

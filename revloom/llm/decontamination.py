@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm.common import free_name, table, windows
+from revloom.llm.common import free_name, release, table, windows
 from revloom.session import written
 
 WIDTH = 10
@@ -148,6 +148,8 @@ def find(df: DataFrame, items: DataFrame, text: str = "text", item: str = "item_
                     }
                 )
 
+            release()
+
         out = out.mapInPandas(run, columns)
     return out
 

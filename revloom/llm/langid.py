@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revloom.llm.common import free_name, table
+from revloom.llm.common import free_name, release, table
 
 # Bound of the training sample: texts per language, and characters of each.
 SAMPLE_TEXTS = 192
@@ -119,6 +119,7 @@ def predict(df: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -
         judge = Judge(shared.value)
         for part in parts:
             yield pd.DataFrame([judge(t) for t in part], columns=["lang", "score", "margin"])
+        release()
 
     run = F.pandas_udf(run, RESULT)
     found = free_name(df, "found")

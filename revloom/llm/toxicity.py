@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revloom.llm.common import free_name, table
+from revloom.llm.common import free_name, release, table
 from revloom.llm.decontamination import words
 from revloom.llm.langid import remainder
 
@@ -202,6 +202,7 @@ def predict(df: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
             above = [shared.value.above(t) for t in part]
             grade = [int(np.argmax(-np.diff(np.concatenate(([1.0], a, [0.0]))))) for a in above]
             yield pd.DataFrame({"severity": [float(a.sum()) for a in above], "p_toxic": [float(a[0]) for a in above], "grade": grade})
+        release()
 
     run = F.pandas_udf(run, RESULT)
     found = free_name(df, "found")
