@@ -122,7 +122,7 @@ HOLDOUT_SQL = (
     "CASE WHEN " + HASH_SQL.format("CAST(doc_id AS VARCHAR)") + " % 10 = 0"
     " THEN 'test' ELSE 'train' END AS split"
 )
-_SEEDED = (
+SEEDED_SQL = (
     "CASE WHEN " + HASH_SQL.format("'1112:' || doc_id") + " % 100 < 25"
     " THEN 'test' ELSE 'train' END AS split"
 )
@@ -170,5 +170,5 @@ FROM tf JOIN ({_STD_SQL.format(
     + """SELECT doc_id, doc_id % 2 AS shard, term, tf, toxic FROM tf JOIN labels USING (doc_id)""",
     "shard_union": f"SELECT doc_id, doc_id % 2 AS shard, {HOLDOUT_SQL}, n_chars FROM documents",
     "split_hash": f"SELECT doc_id, {HOLDOUT_SQL} FROM documents",
-    "split_seeded": f"SELECT doc_id, {_SEEDED} FROM documents",
+    "split_seeded": f"SELECT doc_id, {SEEDED_SQL} FROM documents",
 }

@@ -8,6 +8,10 @@ from revloom.operators import history
 from revloom.plans import views
 
 
+# Small, so that the query cuts its large group at every scale.
+NULL_BLOCK_ROWS = 300
+
+
 def prev_revision(spark, sf):
     rows = history.previous(
         views.rev(spark, sf), ["page"], ["rev"], {"prev_rev": "rev", "prev_content": "content"}
@@ -22,6 +26,18 @@ def prev_revision(spark, sf):
     )
 
 
+def prev_with_null_keys(spark, sf):
+    """Half of the pages without a name, every third revision without a number:
+    one large group of ties, cut into blocks."""
+    number = F.substring("source", 4, 9).cast("int")
+    rows = views.table(spark, sf, "documents").select(
+        F.when(number % 2 == 1, F.col("source")).alias("page"),
+        F.when(F.col("doc_id") % 3 != 0, F.floor(F.col("doc_id") / 100)).alias("rev"),
+        "doc_id",
+    )
+    return history.previous(rows, ["page"], ["rev", "doc_id"], {"prev": "doc_id"}, NULL_BLOCK_ROWS)
+
+
 def time_gaps(spark, sf):
     events = views.table(spark, sf, "events").select("event_id", "user_id", "ts")
     return history.time_gaps(events, ["user_id"], "ts", "event_id").select(
@@ -39,6 +55,7 @@ def moving_avg_gap(spark, sf):
 
 QUERIES = {
     "prev_revision": prev_revision,
+    "prev_with_null_keys": prev_with_null_keys,
     "time_gaps": time_gaps,
     "moving_avg_gap": moving_avg_gap,
 }
@@ -47,6 +64,10 @@ ORACLE = {
     "prev_revision": """SELECT source AS page, doc_id AS rev, lag(doc_id) OVER w AS prev_rev,
   length(text) AS chars, length(lag(text) OVER w) AS prev_chars, md5(lag(text) OVER w) AS prev_md5
 FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)""",
+    "prev_with_null_keys": """SELECT page, rev, doc_id,
+  lag(doc_id) OVER (PARTITION BY page ORDER BY rev NULLS FIRST, doc_id) AS prev
+FROM (SELECT doc_id, CASE WHEN CAST(substr(source, 4) AS INTEGER) % 2 = 1 THEN source END AS page,
+        CASE WHEN doc_id % 3 <> 0 THEN doc_id // 100 END AS rev FROM documents)""",
     "time_gaps": """SELECT event_id, user_id, (us - before) / 1e6 AS gap_seconds
 FROM (SELECT event_id, user_id, epoch_us(ts) AS us,
         lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS before

@@ -207,6 +207,38 @@ def link_extract(spark, sf):
     return links.extract_titles(html, "html", ["page_id"], **_NAV)
 
 
+def titles_stored(spark, sf):
+    """Distinct titles of all index pages, written and read back."""
+    path = scratch_path(spark, "titles")
+    store.write_titles(link_extract(spark, sf).select("title").distinct(), path)
+    return spark.read.schema("title string").json(path)
+
+
+def pages_without_list(spark, sf):
+    html = views.table(spark, sf, "pages").select(
+        F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit("</nav>"), F.lit("")))
+        .otherwise(F.col("html"))
+        .alias("html")
+    )
+    return links.pages_without_list(html, "html", _NAV["start"], _NAV["end"])
+
+
+def revisions_by_shard(spark, sf):
+    """Revisions written to a folder per shard and read back."""
+    path = scratch_path(spark, "revisions")
+    rows = views.rev(spark, sf).withColumn("shard", F.col("rev") % 2)
+    store.write_revisions(rows, path, "shard")
+    return (
+        spark.read.parquet(path)
+        .groupBy(F.col("shard").cast("long").alias("shard"))
+        .agg(
+            F.count(F.lit(1)).alias("revisions"),
+            F.sum(F.length("content")).alias("chars"),
+            F.max("rev").alias("newest"),
+        )
+    )
+
+
 QUERIES = {
     "page_scan": page_scan,
     "revision_scan": revision_scan,
@@ -221,6 +253,9 @@ QUERIES = {
     "assemble_history": assemble_history,
     "time_range": time_range,
     "link_extract": link_extract,
+    "titles_stored": titles_stored,
+    "pages_without_list": pages_without_list,
+    "revisions_by_shard": revisions_by_shard,
 }
 
 # --- SQL -------------------------------------------------------------------------
@@ -253,7 +288,18 @@ processed AS (
     )
 
 
+_LINKS_SQL = """SELECT page_id, unnest(range(len(t))) AS pos, unnest(t) AS title
+FROM (SELECT page_id, regexp_extract_all(
+    substr(html, strpos(html, '<nav>'), strpos(html, '</nav>') - strpos(html, '<nav>')),
+    '<a href="(?:.*?)">(.*?)</a>', 1) AS t
+  FROM pages WHERE contains(html, '<nav>') AND contains(html, '</nav>'))"""
+
 ORACLE = {
+    "titles_stored": f"SELECT DISTINCT title FROM ({_LINKS_SQL})",
+    "pages_without_list": """SELECT count(*) FILTER (page_id % 3 = 0 OR NOT contains(html, '<nav>')
+  OR NOT contains(html, '</nav>')) AS pages_without_list FROM pages""",
+    "revisions_by_shard": """SELECT doc_id % 2 AS shard, count(*) AS revisions,
+  CAST(sum(length(text)) AS BIGINT) AS chars, max(doc_id) AS newest FROM documents GROUP BY ALL""",
     "page_scan": """SELECT source AS title, count(*) AS revisions,
   CAST(sum(length(text)) AS BIGINT) AS chars, 1600000000 + max(doc_id) * 60 AS newest
 FROM documents GROUP BY source""",
@@ -319,9 +365,5 @@ SELECT title, row_number() OVER (PARTITION BY title ORDER BY batch_no, i) - 1 AS
   CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '' ELSE
     rtrim('.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0'), '0') END AS ts
 FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-19 23:59:59'""",
-    "link_extract": """SELECT page_id, unnest(range(len(t))) AS pos, unnest(t) AS title
-FROM (SELECT page_id, regexp_extract_all(
-    substr(html, strpos(html, '<nav>'), strpos(html, '</nav>') - strpos(html, '<nav>')),
-    '<a href="(?:.*?)">(.*?)</a>', 1) AS t
-  FROM pages WHERE contains(html, '<nav>') AND contains(html, '</nav>'))""",
+    "link_extract": _LINKS_SQL,
 }
