@@ -24,11 +24,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm.common import WordHasher, batches, components, free_name, mix, table, windows
+from revloom.llm.common import WordHasher, batches, components, free_name, mix, release, table, windows
 from revloom.session import written
 
 # Fixed values of the contract: words per shingle, percent of similarity.
@@ -41,6 +42,9 @@ SKETCH = 1 << 18
 ORDERS = 3
 # Members of one block of an index list.
 BLOCK = 256
+# Bits that hold the parity of a set's tokens: sets differ in at least as many tokens
+# as their parities differ in bits.
+PARITY_BITS = 2048
 # Bits of a filter that keeps rows from being shuffled: 4 MB.
 FILTER_BITS = 1 << 25
 
@@ -56,7 +60,7 @@ def shingles(text: str | None, width: int = WIDTH) -> frozenset:
     return frozenset(tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()
 
 
-@lru_cache(maxsize=256)
+@lru_cache(maxsize=8)
 def _unpacked(text: bytes, width: int) -> frozenset:
     return shingles(zstandard.ZstdDecompressor().decompress(text).decode(), width)
 
@@ -125,6 +129,7 @@ def survey(docs: DataFrame, width: int) -> DataFrame:
                         }
                     )
         yield pd.DataFrame({"id": [0], "missing": [True], "n": [0], "s1": [0], "s2": [0], "counts": [counts.tobytes()]})
+        release()
 
     schema = "id long, missing boolean, n long, s1 long, s2 long, counts binary"
     return docs.select("id", "missing", "text").mapInPandas(run, schema)
@@ -138,11 +143,12 @@ def frequency_sketch(counts: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, sketch, copies, width: int, percent: int) -> DataFrame:
-    """(id, n, tokens, others, copy) of rows with a key and a word.
+    """(id, n, tokens, others, parity, copy) of rows with a key and a word.
 
     ``tokens``: the prefix under the first order, in order. ``others``: short hashes
-    of the prefixes under the other orders, one array per order. ``copy``: whether
-    the bit filter ``copies`` has the id.
+    of the prefixes under the other orders, one array per order. ``parity``: how
+    many tokens fall to each of ``PARITY_BITS`` places, modulo 2, as bits. ``copy``:
+    whether the bit filter ``copies`` has the id.
     """
 
     def row(key, found, copy):
@@ -154,7 +160,8 @@ def prefixes(docs: DataFrame, sketch, copies, width: int, percent: int) -> DataF
             first = np.argpartition(rank, length - 1)[:length]
             kept.append(own[first[np.argsort(rank[first])]])
         short = [np.unique((k >> np.uint64(48)).astype(np.uint16).view(np.int16)) for k in kept[1:]]
-        return key, len(own), kept[0].view(np.int64), short, copy
+        odd = np.bincount((own % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+        return key, len(own), kept[0].view(np.int64), short, np.packbits(odd.astype(bool)).view(np.int64), copy
 
     def run(frames):
         tokens = Tokens(width)
@@ -163,9 +170,12 @@ def prefixes(docs: DataFrame, sketch, copies, width: int, percent: int) -> DataF
                 known = passes(copies.value, piece["id"].to_numpy())
                 found = zip(piece["id"].tolist(), tokens(piece["text"].tolist()), known.tolist(), strict=True)
                 rows = [row(*x) for x in found if len(x[1])]
-                yield pd.DataFrame(rows, columns=["id", "n", "tokens", "others", "copy"])
+                yield pd.DataFrame(rows, columns=["id", "n", "tokens", "others", "parity", "copy"])
+        release()
 
-    schema = "id long, n long, tokens array<long>, others array<array<short>>, copy boolean"
+    schema = (
+        "id long, n long, tokens array<long>, others array<array<short>>, parity array<long>, copy boolean"
+    )
     return docs.where("not missing").select("id", "text").mapInPandas(run, schema)
 
 
@@ -283,15 +293,30 @@ def other_pairs(members: DataFrame, groups: DataFrame, percent: int) -> DataFram
 
 def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b) of ``pairs`` whose prefixes meet under every order and whose sets are
-    similar enough, compared word by word."""
+    similar enough, compared word by word.
+
+    Before words are compared, pairs go whose parities alone show too large a
+    difference. Bit filters keep rows of documents in no pair from being shuffled.
+    """
     pairs = written(pairs, "jaccard-pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    others = sets.select("id", "others").join(ids, "id")
-    a, b = (others.select(F.col("id").alias(k), F.col("others").alias(f"others_{k}")) for k in "ab")
+    paired = bit_filter(ids, "id")
+
+    def only_paired(frames):
+        for frame in frames:
+            yield frame.filter(pa.array(passes(paired.value, frame.column(0).to_numpy())))
+
+    light = sets.select("id", "n", "others", "parity")
+    schema = "id long, n long, others array<array<short>>, parity array<long>"
+    others = light.mapInArrow(only_paired, schema).join(ids, "id")
+    a, b = (others.select(F.col("id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in others.columns[1:]]) for k in "ab")
     meet = [F.arrays_overlap(F.col("others_a")[i], F.col("others_b")[i]) for i in range(ORDERS - 1)]
     crossed = pairs.join(a, "a").join(b, "b")
     for test in meet:
         crossed = crossed.where(test)
+    unlike = F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(unlike, F.lit(0), lambda total, x: total + x)
+    crossed = crossed.where(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
     crossed = written(crossed.select("a", "b"), "jaccard-crossed")
     wanted = crossed.select(F.col("a").alias("id")).union(crossed.select("b")).distinct()
     known = bit_filter(wanted, "id")
@@ -315,6 +340,8 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
                 common = len(x & y)
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield frame.loc[keep, ["a", "b"]]
+        _unpacked.cache_clear()
+        release()
 
     return crossed.join(a, "a").join(b, "b").mapInPandas(run, "a long, b long")
 
