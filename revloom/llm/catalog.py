@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
+from revloom.llm.common import small_batches
+
 MODULES = [
     "ann",
     "bpe",
@@ -25,8 +27,17 @@ def _gather(attribute: str) -> dict:
     return found
 
 
+def _bounded(query):
+    def run(spark, sf_dir):
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
+
+
 def queries() -> dict:
-    return _gather("QUERIES")
+    return {name: _bounded(query) for name, query in _gather("QUERIES").items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,6 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Rows and bytes in one Arrow batch: a worker holds a few of them at once, and texts
+# may be long.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what Python workers receive at once. This holds for the session, as
+    DataFrames run later than they are made."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}
@@ -37,7 +52,7 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def batches(frames: Iterator[pd.DataFrame], column: str, limit: int = 1 << 21):
+def batches(frames: Iterator[pd.DataFrame], column: str, limit: int = 1 << 19):
     """Cut incoming frames so that one piece holds about ``limit`` characters.
 
     A text longer than that is a piece of its own; no text is ever cut.

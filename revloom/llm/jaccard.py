@@ -326,6 +326,7 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
         for frame in frames:
             own = frame[passes(known.value, frame["id"].to_numpy())]
             yield own.assign(text=[codec.compress((t or "").encode()) for t in own["text"]])
+        release()
 
     # Compressed texts: they travel once per pair.
     texts = docs.where("not missing").select("id", "text").mapInPandas(only_known, "id long, text binary")
