@@ -42,6 +42,8 @@ HEADLINE = [
     "nb_predict",
     "metrics",
     "reverted_from_diff",
+    "nb_scaled",
+    "incremental_stream",
 ]
 
 
