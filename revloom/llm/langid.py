@@ -46,15 +46,21 @@ def remainder(doc_id: Column) -> Column:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Raw dictionary of each language from a bounded sample of labelled texts.
 
-    The sample has the ``SAMPLE_TEXTS`` texts per language with the smallest hashes,
-    and the first ``SAMPLE_CHARS`` characters of each; the limit per language is
-    applied in every task before rows are shuffled.
+    The sample has the ``SAMPLE_TEXTS`` different texts per language with the smallest
+    hashes, and ``SAMPLE_CHARS`` characters of each, from a place that the hash gives.
+    Copies are merged in every task before rows are shuffled.
     """
     usable = labelled.where(F.col(lang).isNotNull() & (F.trim(F.coalesce(F.col(text), F.lit(""))) != ""))
-    start = F.substring(F.col(text), 1, SAMPLE_CHARS)
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("order", "start"))
+    order = F.xxhash64(F.col(text))
+    # Places from 1 to the last from which the characters are all there.
+    places = F.greatest(F.char_length(F.col(text)) - SAMPLE_CHARS, F.lit(0)) + 1
+    at = (F.pmod(F.xxhash64(F.lit("place"), F.col(text)), places.cast("long")) + 1).cast("int")
+    start = F.col(text).substr(at, F.lit(SAMPLE_CHARS))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("order"))
     sample = (
-        usable.select(F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("order"), start.alias("start"))
+        usable.select(F.col(lang).alias("lang"), order.alias("order"), start.alias("start"))
+        .groupBy("lang", "order")
+        .agg(F.min("start").alias("start"))
         .withColumn("rank", rank)
         .where(F.col("rank") <= SAMPLE_TEXTS)
         .select("lang", "rank", "start")

@@ -52,3 +52,15 @@ def test_odd_rows(spark, dictionaries):
 def test_learning_from_nothing_and_from_null_labels(spark):
     df = spark.createDataFrame([(1, "some text", None), (2, None, "en"), (3, " ", "en")], "doc_id long, text string, lang string")
     assert langid.learn(df) == {}
+
+
+def test_copies_leave_room_for_other_texts(spark):
+    rows = [("the same text", "en")] * 1000 + [(f"other text number {i}", "en") for i in range(150)]
+    raw = langid.learn(spark.createDataFrame(rows, "text string, lang string"))["en"].decode().split("\n")
+    assert len(raw) == 151 and len(set(raw)) == 151
+
+
+def test_pieces_are_not_all_from_the_beginning(spark):
+    rows = [("a" * 2000 + str(i) + "b" * 2000, "en") for i in range(20)]
+    raw = langid.learn(spark.createDataFrame(rows, "text string, lang string"))["en"].decode().split("\n")
+    assert all(len(t) == langid.SAMPLE_CHARS for t in raw) and "b" in "".join(raw)
