@@ -17,6 +17,7 @@ MODULES = [
     "sharding",
     "spelling",
     "toxicity",
+    "trie",
     "warc",
 ]
 
