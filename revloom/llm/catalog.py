@@ -15,6 +15,7 @@ MODULES = [
     "linededup",
     "pii",
     "sharding",
+    "simhash",
     "spelling",
     "toxicity",
     "trie",

@@ -164,6 +164,18 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def look_up(rows: DataFrame, values: DataFrame, on: list[str], hot: DataFrame, name: str) -> DataFrame:
+    """``rows`` joined with ``values`` by ``on``, all rows kept.
+
+    ``hot`` holds the rows of ``values`` whose keys have many rows; the caller bounds
+    their number. They are broadcast, and the other rows are shuffled without them.
+    """
+    hot = written(hot.select(*values.columns), name)
+    many = rows.join(F.broadcast(hot), on)
+    few = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(values, on, "left")
+    return many.unionByName(few)
+
+
 def components(links: DataFrame, name: str, rounds: int = 60) -> DataFrame:
     """(node, component): smallest node reachable over undirected ``links`` (a, b).
 

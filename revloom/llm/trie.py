@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revloom.llm.common import table
+from revloom.llm.common import look_up, table
 from revloom.operators import ordered
 from revloom.session import written
 
@@ -158,18 +158,6 @@ def rebuilt(turns: DataFrame, base: list[int]) -> DataFrame:
     return both.select("conv_id", "h", "head", "taken", "stored", (F.col("taken") + own).cast("long").alias("length"), *maps)
 
 
-def look_up(rows: DataFrame, values: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
-    """``rows`` joined with ``values`` by ``on``, all rows kept.
-
-    ``hot`` holds the rows of ``values`` whose keys have many rows, fewer than ``SHARE``
-    by their share; they are broadcast and the rest is shuffled without them.
-    """
-    hot = written(hot.select(*values.columns), "trie-hot")
-    many = rows.join(F.broadcast(hot), on)
-    few = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(values, on, "left")
-    return many.unionByName(few)
-
-
 def prefixes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     """(depth, k1, k2, pk1, pk2, c, bytes, row, ends): every prefix of every rebuilt
     conversation ``c``, with the key of its parent and the stored turn it ends with."""
@@ -182,7 +170,7 @@ def prefixes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     total = convs.agg(F.sum("stored")).first()[0] or 0
     values = convs.select("conv_id", "h", "taken", "length", *maps, "stored")
     hot = values.where(F.col("stored") * SHARE > total)
-    own = look_up(turns, values, ["conv_id"], hot).where("pos > h")
+    own = look_up(turns, values, ["conv_id"], hot, "trie-hot").where("pos > h")
     depth = F.col("pos") - F.col("h") + F.col("taken")
     mapped = {k: [_modulo(F.col(f"m{i}") * F.col(f"{k}{i}") + F.col(f"a{i}")) for i in range(SUMS)] for k in "sp"}
     from_own = own.select(
@@ -300,7 +288,7 @@ def _figures(convs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     values = values.join(convs.select(F.col("conv_id").alias("c"), "length"), "c")
     values = written(values, "trie-values")
     n_rows, n_nodes = rows.count(), nodes.count()
-    valued = look_up(rows.select(*KEY, "c"), values, ["c"], values.where(F.col("length") * SHARE > n_rows))
+    valued = look_up(rows.select(*KEY, "c"), values, ["c"], values.where(F.col("length") * SHARE > n_rows), "trie-hot")
     sums = valued.groupBy(*KEY).agg(
         F.coalesce(F.sum("leaf"), F.lit(0)).alias("n_leaves"), F.coalesce(F.sum("total"), F.lit(0)).alias("below")
     )
@@ -328,7 +316,7 @@ def _figures(convs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     hot = parents.where(F.col("n_children") * SHARE > n_nodes).drop("n_children")
     deep = figures.where("depth > 1").withColumn("above", F.col("depth") - 1)
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
-    deep = look_up(deep, parents.drop("n_children"), ["above", "pk1", "pk2"], hot).select(*columns)
+    deep = look_up(deep, parents.drop("n_children"), ["above", "pk1", "pk2"], hot, "trie-hot").select(*columns)
     # The root: one row, from plain totals.
     root = convs.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")).first()
     if not root["n_convs"]:
