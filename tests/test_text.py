@@ -1,9 +1,13 @@
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from revloom.functions import labels
 from revloom.functions import text as tx
-from revloom.functions.markup import plain_text
+from revloom.functions.markup import plain_text, without_nested
 
 
 def one(spark, value, expression, kind="string"):
@@ -116,3 +120,65 @@ def test_labels(spark):
         (0, 0, 0, 0),
         (1, 1, 1, 4),
     ]
+
+
+def matched_slowly(text, opening="{{", closing="}}"):
+    stack = [""]
+    for piece in re.split(f"({re.escape(opening)}|{re.escape(closing)})", text):
+        if piece == opening:
+            stack.append("")
+        elif piece == closing and len(stack) > 1:
+            stack.pop()
+        else:
+            stack[-1] += piece
+    return opening.join(stack)
+
+
+def test_brackets_like_a_stack(spark):
+    rng = random.Random(7)
+    parts = ["{{", "}}", "{", "}", "a", " b"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, got in df.select("t", without_nested(F.col("t"), "{{", "}}")).collect():
+        assert got == matched_slowly(t)
+
+
+LONG = {
+    "matched": "{{a}} some words here ",
+    "unmatched": "{{ ",
+    "deep": "{{a",
+    "closed only": "b}} ",
+    "comments without end": "<!-- ",
+    "references without end": "<ref> ",
+    "tags without end": "<a ",
+    "scripts without end": "<script>",
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_time_in_proportion_to_the_markup(spark, name):
+    """Sixteen times the text takes at most some forty times as long, not 256."""
+    part = LONG[name]
+
+    def seconds(size):
+        df = spark.createDataFrame([(part * (size // len(part)),)], "t string")
+        start = time.perf_counter()
+        df.select(F.length(plain_text(F.col("t")))).collect()
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(800_000) < 5 + 40 * max(0.1, seconds(50_000))
+
+
+@pytest.mark.parametrize(
+    "markup, expected",
+    [
+        ("a<!-- x --> b <!-- c", "a b <!-- c"),
+        ("<ref>x</ref>a<ref name=y/>b<REF>c", "abc"),
+        ("a<script>b", "ab"),
+        ("<style>x</style>a<style>b <ref c", "ab <ref c"),
+        ("= a =\n==  b b ==  \n=  =\n= c\n=== d = ===", "a\nb b\n \n= c\n=== d = ==="),
+    ],
+)
+def test_openings_that_lead_nowhere(spark, markup, expected):
+    assert one(spark, markup, plain_text) == expected
