@@ -9,18 +9,20 @@ from revloom.operators import cleaning
 from revloom.plans import corpus, views
 from revloom.plans.changes import diff_text_cte
 from revloom.plans.markup_sql import plain_text_sql
-from revloom.session import scratch_path
+from revloom.session import scratch_path, written
 from revloom.sources import ledger, links, pages, responses, store
-from revloom.streaming.intake import run_intake
+from revloom.streaming.intake import read_prepared, run_intake
 
 FIRST_N = 5
+# Revisions of a stored piece and files of a delivery, for the incremental intake.
+PIECE_ROWS, FILES = 20, 4
 
 
-def _nested(spark, sf):
+def _nested(spark, sf, per_row=pages.REVISIONS_PER_ROW):
     """The documents as nested pages, newest revision first."""
     stored = corpus.as_revisions(views.rev_tagged(spark, sf))
     newest_first = stored.withColumn("_newest", -F.col("rev")).drop("rev")
-    return pages.nest_pages(newest_first, ["_newest"])
+    return pages.nest_pages(newest_first, ["_newest"], per_row)
 
 
 def _stored_pages(spark, sf):
@@ -77,7 +79,7 @@ def intake_counts(spark, sf):
         .otherwise(stored)
     )
     path = scratch_path(spark, "mixed")
-    _nested(spark, sf).where(F.col("offset") == 0).select(line).write.text(path)
+    _nested(spark, sf).select(line).write.text(path)
     return pages.intake_counts(spark, path, one_page_per_file=False)
 
 
@@ -99,18 +101,18 @@ def _prepared_columns(df):
 
 
 def incremental_stream(spark, sf):
-    """Two deliveries of pages, then a run that finds nothing new."""
+    """Pages in pieces of few revisions, dealt out to the files of two deliveries; then
+    a run that finds nothing new."""
     source, target, checkpoint = (
         scratch_path(spark, n) for n in ("arriving", "prepared", "offsets")
     )
-    # one file per page keeps a page within one batch
-    nested = _nested(spark, sf)
-    early = F.crc32("title") % 2 == 0
+    nested = written(_nested(spark, sf, PIECE_ROWS), "pieces")
+    early = F.crc32(F.concat_ws(" ", "title", "offset")) % 2 == 0
     for delivery in (nested.where(early), nested.where(~early)):
-        store.write_pages(delivery.repartition("title"), source)
+        store.write_pages(delivery.repartition(FILES, "title", "offset"), source)
         run_intake(spark, source, target, checkpoint, one_page_per_file=False)
     run_intake(spark, source, target, checkpoint, one_page_per_file=False)
-    return _prepared_columns(spark.read.parquet(target))
+    return _prepared_columns(read_prepared(spark, target))
 
 
 def processed_revisions(spark, sf):
@@ -313,9 +315,11 @@ FROM documents LEFT JOIN tags USING (doc_id)""",
 JOIN (SELECT source, CAST(sum(strlen(text)) AS BIGINT) AS page_bytes
       FROM documents GROUP BY source) USING (source)
 WHERE page_bytes <= (SELECT sum(strlen(text)) // count(DISTINCT source) FROM documents)""",
-    "intake_counts": """SELECT count(*) AS stored, count(*) FILTER (k > 1) AS kept,
+    "intake_counts": f"""SELECT count(*) AS stored, count(*) FILTER (k > 1) AS kept,
   0 AS too_large, count(*) FILTER (k = 0) AS corrupt, count(*) FILTER (k = 1) AS without_revisions
-FROM (SELECT DISTINCT source, CAST(substr(source, 4) AS INTEGER) % 4 AS k FROM documents)""",
+FROM (SELECT source, CAST(substr(source, 4) AS INTEGER) % 4 AS k,
+    unnest(range((count(*) + {pages.REVISIONS_PER_ROW - 1}) // {pages.REVISIONS_PER_ROW})) AS row
+  FROM documents GROUP BY source)""",
     "first_n_pages": f"""SELECT source AS page, doc_id AS rev, length(text) AS chars FROM documents
 WHERE source IN (SELECT DISTINCT source FROM documents ORDER BY source LIMIT {FIRST_N})""",
     "incremental_skip": """SELECT doc_id, source FROM documents

@@ -1,11 +1,13 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from revloom.schemas import LEDGER
 from revloom.sources import ledger, links, pages, responses, store
-from revloom.streaming.intake import run_intake
+from revloom.plans import corpus
+from revloom.streaming.intake import merge_batch, read_prepared, run_intake
 
 
 def page(title, texts, **extra):
@@ -215,3 +217,54 @@ def test_gaps_and_repeated_batches(spark):
     df = spark.createDataFrame(rows, "title string, batch_no long, body string")
     got = sorted((r["title"], r["pos"], r["revision"]["slots"]["main"]["content"]) for r in responses.assemble(df).collect())
     assert got == [("twice", 0, "c"), ("twice", 1, "d"), ("twice", 2, "e")]
+
+
+def piece(title, offset, texts):
+    return json.dumps(page(title, texts, comment=f"{title}{offset}") | {"offset": offset})
+
+
+def whole(rows):
+    fields = ("title", "pos", "content", "comment_plaintext", "content_diff", "content_plaintext_diff")
+    return sorted(tuple(r[f] for f in fields) for r in rows.collect())
+
+
+def test_a_page_in_three_files_over_two_runs(spark, tmp_path):
+    """The middle piece comes last: its newer neighbour is prepared again."""
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out/ready", "out/offsets"))
+    texts = [f"s{n}. same. t{n % 3}. " for n in range(9)]
+    pieces = [piece("P", 0, texts[:3]), piece("P", 3, texts[3:6]), piece("P", 6, texts[6:])]
+    (tmp_path / "in").mkdir()
+    for name, lines in (("a", [pieces[2]]), ("b", [pieces[0], piece("Q", 0, ["x. "])])):
+        (tmp_path / "in" / f"{name}.json").write_text("\n".join(lines))
+    run_intake(spark, source, target, checkpoint, one_page_per_file=False, max_files_per_batch=1)
+    halfway = {r["pos"]: r["content_diff"] for r in read_prepared(spark, target).where("title = 'P'").collect()}
+    assert len(halfway) == 6 and "-s6. " in halfway[2]
+    (tmp_path / "in" / "c.json").write_text(pieces[1])
+    run_intake(spark, source, target, checkpoint, one_page_per_file=False)
+    result = read_prepared(spark, target)
+    assert result.count() == 10 and spark.read.parquet(target).where("pos = 2").count() == 2
+    (tmp_path / "all").mkdir()
+    (tmp_path / "all" / "d.json").write_text("\n".join([*pieces, piece("Q", 0, ["x. "])]))
+    stored = pages.read_pages(spark, str(tmp_path / "all"), one_page_per_file=False)
+    assert whole(result) == whole(corpus.prepare(pages.read_revisions(stored)))
+
+
+def test_any_order_of_pieces_gives_what_one_batch_gives(spark, tmp_path):
+    """Pieces in random order and repeated; a batch that is tried again changes nothing."""
+    rng = random.Random(4)
+    texts = {t: [f"{t}{n}. common. v{rng.randrange(3)}. " for n in range(rng.randrange(1, 12))] for t in "ABC"}
+    pieces = [(t, at, own[at : at + 2]) for t, own in texts.items() for at in range(0, len(own), 2)]
+    target, state = (str(tmp_path / n) for n in ("ready", "state"))
+    (tmp_path / "all.json").write_text("\n".join(piece(*p) for p in pieces))
+    rng.shuffle(pieces)
+    for batch, at in enumerate(range(0, len(pieces), 4)):
+        path = tmp_path / f"in{batch}.json"
+        path.write_text("\n".join(piece(*p) for p in [*pieces[at : at + 4], pieces[0], pieces[at]]))
+        stored = pages.read_pages(spark, str(path), one_page_per_file=False)
+        for _ in range(2 if batch == 1 else 1):
+            merge_batch(corpus.flattened(pages.read_revisions(stored)), batch, target, state)
+    stored = pages.read_pages(spark, str(tmp_path / "all.json"), one_page_per_file=False)
+    assert whole(read_prepared(spark, target)) == whole(corpus.prepare(pages.read_revisions(stored)))
+    # Whole pages need nothing kept but their oldest revision.
+    last = spark.read.parquet(state).groupBy("title").agg(F.max_by(F.struct("batch", "pos"), "batch").alias("x"))
+    assert last.count() == 3
