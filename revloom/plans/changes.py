@@ -33,6 +33,11 @@ def diff_text(spark, sf):
     return diff.diff_text(chain, GROUP, ORDER, texts, max_group_rows=CHAIN_LENGTH)
 
 
+def ordered_diff(spark, sf):
+    """Changes that respect the order, in histories that move segments about."""
+    return diff.ordered_diff(views.moves(spark, sf), GROUP, ORDER, "content", max_group_rows=CHAIN_LENGTH)
+
+
 def diff_summary(spark, sf):
     histories = {
         "chain": (views.chain(spark, sf), CHAIN_LENGTH),
@@ -112,6 +117,52 @@ def _summary_sql(view: str) -> str:
 FROM {view}_order o LEFT JOIN {view}_changes c USING (page, rev) GROUP BY ALL"""
 
 
+# Pairs of copies, runs of them, and for each run in turn the best chain that ends with
+# it; the chain is carried as a list of its runs.
+ORDERED_SQL = """pairs AS (
+  SELECT a.page, a.rev, b.pos AS b, a.pos AS a FROM moves_a a JOIN moves_b b USING (page, rev, segment, dup)),
+marked AS (
+  SELECT *, b - a AS d, coalesce(b - 1 <> lag(b) OVER w OR a - 1 <> lag(a) OVER w, true) AS starts
+  FROM pairs WINDOW w AS (PARTITION BY page, rev ORDER BY b)),
+numbered AS (
+  SELECT *, sum(starts::INT) OVER (PARTITION BY page, rev ORDER BY b ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+runs AS (
+  SELECT page, rev, list({'a': a, 'n': n} ORDER BY run) AS runs
+  FROM (SELECT page, rev, run, min(a) AS a, count(*) AS n FROM numbered GROUP BY page, rev, run) GROUP BY page, rev),
+dp AS (
+  SELECT page, rev, runs, 0 AS i, CAST([] AS STRUCT(a BIGINT, n BIGINT, path BIGINT[])[]) AS ends FROM runs
+  UNION ALL
+  SELECT page, rev, runs, i + 1, list_append(ends, {
+    'a': runs[i + 1].a,
+    'n': runs[i + 1].n + coalesce(best.n, 0),
+    'path': list_append(coalesce(best.path, CAST([] AS BIGINT[])), CAST(i + 1 AS BIGINT))})
+  FROM (SELECT *, list_reduce(list_filter(ends, lambda x: x.a < runs[i + 1].a),
+      lambda x, y: CASE WHEN x IS NULL OR y.n > x.n OR (y.n = x.n AND y.a < x.a) THEN y ELSE x END,
+      CAST(NULL AS STRUCT(a BIGINT, n BIGINT, path BIGINT[]))) AS best
+    FROM dp WHERE i < len(runs))),
+chain_of AS (
+  SELECT page, rev, unnest(list_reduce(ends, lambda x, y:
+    CASE WHEN y.n > x.n OR (y.n = x.n AND y.a < x.a) THEN y ELSE x END).path) AS run
+  FROM dp WHERE i = len(runs)),
+stay AS (SELECT page, rev, n.b, n.a FROM numbered n JOIN chain_of USING (page, rev, run)),
+olds AS (
+  SELECT s.page, s.rev, s.pos, s.segment,
+    s.pos - row_number() OVER (PARTITION BY s.page, s.rev ORDER BY s.pos) + 1 AS after
+  FROM moves_b s ANTI JOIN stay k ON k.page = s.page AND k.rev = s.rev AND k.b = s.pos),
+news AS (
+  SELECT s.page, s.rev, s.pos, s.segment,
+    s.pos - row_number() OVER (PARTITION BY s.page, s.rev ORDER BY s.pos) + 1 AS after
+  FROM moves_a s ANTI JOIN stay k ON k.page = s.page AND k.rev = s.rev AND k.a = s.pos),
+changed AS (
+  SELECT page, rev, string_agg(line || chr(10), '' ORDER BY after, side, pos) AS t,
+    count(*) FILTER (side = 1) AS added, count(*) FILTER (side = 0) AS removed
+  FROM (SELECT page, rev, after, 0 AS side, pos, '-' || segment AS line FROM olds
+    UNION ALL SELECT page, rev, after, 1, pos, '+' || segment FROM news) GROUP BY page, rev)
+SELECT o.page, o.rev, coalesce(t, '') AS diff_text, coalesce(added, 0) AS added,
+  coalesce(removed, 0) AS removed, coalesce(k.kept, 0) AS kept
+FROM moves_order o LEFT JOIN changed USING (page, rev)
+LEFT JOIN (SELECT page, rev, count(*) AS kept FROM stay GROUP BY page, rev) k USING (page, rev)"""
+
 _PLAIN_CHAIN = (
     "plain AS (SELECT page, rev, " + plain_text_sql("content") + " AS content FROM html_chain)"
 )
@@ -120,6 +171,7 @@ QUERIES = {
     "revision_diff": revision_diff,
     "plaintext_diff": plaintext_diff,
     "diff_text": diff_text,
+    "ordered_diff": ordered_diff,
     "diff_summary": diff_summary,
 }
 
@@ -130,6 +182,9 @@ ORACLE = {
     + "SELECT * FROM plain_changes",
     "diff_text": views.with_sql(views.CHAIN_SQL, diff_text_cte("chain"))
     + "SELECT * FROM chain_diff",
+    "ordered_diff": views.with_sql(views.MOVES_SQL, diff_text_cte("moves")).replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", "
+    + ORDERED_SQL,
     "diff_summary": views.with_sql(
         views.CHAIN_SQL,
         views.REV_SQL,

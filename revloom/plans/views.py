@@ -60,6 +60,29 @@ def growing(df: DataFrame, page: str, text: str) -> DataFrame:
     )
 
 
+def shuffled(df: DataFrame, page: str, text: str) -> DataFrame:
+    """Four revisions of every text that move its segments: as they are, the halves
+    exchanged, the second quarter at the end after an edit, the first four reversed."""
+    s, n = F.col("_segments"), F.size("_segments")
+    half, quarter = F.floor(n / 2).cast("int"), F.floor(n / 4).cast("int")
+    part = lambda start, end: F.slice(s, start + 1, F.greatest(end - start, F.lit(0)))
+    moved = [
+        s,
+        F.concat(part(half, n), part(F.lit(0), half)),
+        F.concat(part(F.lit(0), quarter), F.array(F.lit("edit 3. ")), part(half, n), part(quarter, half)),
+        F.concat(F.reverse(part(F.lit(0), F.lit(4))), part(F.lit(4), n)),
+    ]
+    return (
+        df.select(F.col(page).alias("page"), tx.segments(F.coalesce(text, F.lit(""))).alias("_segments"))
+        .select("page", F.posexplode(F.array(*moved)).alias("_at", "_s"))
+        .select("page", (F.col("_at") + 1).cast("long").alias("rev"), F.array_join("_s", "\n").alias("content"))
+    )
+
+
+def moves(spark: SparkSession, sf: str) -> DataFrame:
+    return shuffled(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
+
+
 def chain(spark: SparkSession, sf: str) -> DataFrame:
     return growing(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
@@ -107,6 +130,15 @@ def growing_sql(name: str, relation: str, page: str, text: str) -> str:
   FROM {name}_base, (SELECT unnest(range(1, 5)) AS k))"""
 
 
+MOVES_SQL = f"""moves_base AS (
+  SELECT doc_id AS page, {segments_sql("coalesce(text, '')")} AS s FROM documents),
+moves AS (
+  SELECT page, unnest([1, 2, 3, 4])::BIGINT AS rev, unnest([
+    array_to_string(s, chr(10)),
+    array_to_string(s[len(s) // 2 + 1:] || s[1:len(s) // 2], chr(10)),
+    array_to_string(s[1:len(s) // 4] || ['edit 3. '] || s[len(s) // 2 + 1:] || s[len(s) // 4 + 1:len(s) // 2], chr(10)),
+    array_to_string(list_reverse(s[1:4]) || s[5:], chr(10))]) AS content
+  FROM moves_base)"""
 TAGS_SQL = """tags AS (
   SELECT doc_id, list_filter([
     CASE WHEN quality = 0 THEN 'mw-reverted' END,
