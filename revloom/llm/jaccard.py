@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.llm.common import WordHasher, batches, components, free_name, mix, release, table, windows
@@ -43,7 +43,8 @@ ORDERS = 3
 # Members of one block of an index list.
 BLOCK = 256
 # Bits that hold the parity of a set's tokens: sets differ in at least as many tokens
-# as their parities differ in bits.
+# as their parities differ in bits. A set of n tokens has about n bits, 64 at least and
+# so many at most: enough to tell sets apart that share little.
 PARITY_BITS = 2048
 # Bits of a filter that keeps rows from being shuffled: 4 MB.
 FILTER_BITS = 1 << 25
@@ -147,8 +148,8 @@ def prefixes(docs: DataFrame, sketch, copies, width: int, percent: int) -> DataF
 
     ``tokens``: the prefix under the first order, in order. ``others``: short hashes
     of the prefixes under the other orders, one array per order. ``parity``: how
-    many tokens fall to each of ``PARITY_BITS`` places, modulo 2, as bits. ``copy``:
-    whether the bit filter ``copies`` has the id.
+    many tokens fall to each of up to ``PARITY_BITS`` places, modulo 2, as bits.
+    ``copy``: whether the bit filter ``copies`` has the id.
     """
 
     def row(key, found, copy):
@@ -160,7 +161,8 @@ def prefixes(docs: DataFrame, sketch, copies, width: int, percent: int) -> DataF
             first = np.argpartition(rank, length - 1)[:length]
             kept.append(own[first[np.argsort(rank[first])]])
         short = [np.unique((k >> np.uint64(48)).astype(np.uint16).view(np.int16)) for k in kept[1:]]
-        odd = np.bincount((own % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+        bits = min(PARITY_BITS, max(64, 1 << (len(own) - 1).bit_length()))
+        odd = np.bincount((own % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
         return key, len(own), kept[0].view(np.int64), short, np.packbits(odd.astype(bool)).view(np.int64), copy
 
     def run(frames):
@@ -291,14 +293,20 @@ def other_pairs(members: DataFrame, groups: DataFrame, percent: int) -> DataFram
     return dealt.mapInPandas(run, "a long, b long").distinct()
 
 
-def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) of ``pairs`` whose prefixes meet under every order and whose sets are
-    similar enough, compared word by word.
+def _folded(parity: Column, words: Column) -> Column:
+    """A parity of twice as many words, or four times, on so many words."""
 
-    Before words are compared, pairs go whose parities alone show too large a
-    difference. Bit filters keep rows of documents in no pair from being shuffled.
-    """
-    pairs = written(pairs, "jaccard-pairs")
+    def half(x: Column) -> Column:
+        n = F.floor(F.size(x) / 2).cast("int")
+        low, high = F.slice(x, F.lit(1), n), F.slice(x, n + 1, n)
+        return F.when(F.size(x) > words, F.zip_with(low, high, lambda a, b: a.bitwiseXOR(b))).otherwise(x)
+
+    return half(half(parity))
+
+
+def _attached(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """``pairs`` with columns of both their sets, as ``<column>_a`` and ``<column>_b``.
+    A bit filter keeps rows of documents in no pair from being shuffled."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     paired = bit_filter(ids, "id")
 
@@ -306,17 +314,30 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
         for frame in frames:
             yield frame.filter(pa.array(passes(paired.value, frame.column(0).to_numpy())))
 
-    light = sets.select("id", "n", "others", "parity")
-    schema = "id long, n long, others array<array<short>>, parity array<long>"
-    others = light.mapInArrow(only_paired, schema).join(ids, "id")
-    a, b = (others.select(F.col("id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in others.columns[1:]]) for k in "ab")
-    meet = [F.arrays_overlap(F.col("others_a")[i], F.col("others_b")[i]) for i in range(ORDERS - 1)]
-    crossed = pairs.join(a, "a").join(b, "b")
-    for test in meet:
-        crossed = crossed.where(test)
-    unlike = F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    own = sets.select("id", *columns)
+    own = own.mapInArrow(only_paired, own.schema)
+    a, b = (own.select(F.col("id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in columns]) for k in "ab")
+    return pairs.join(a, "a").join(b, "b")
+
+
+def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) of ``pairs`` whose prefixes meet under every order and whose sets are
+    similar enough, compared word by word.
+
+    Pairs go first whose parities alone show too large a difference: parities are short,
+    and few other pairs are left to which prefixes and texts must travel.
+    """
+    pairs = written(pairs, "jaccard-pairs")
+    light = _attached(pairs, sets, ["n", "parity"])
+    words = F.least(F.size("parity_a"), F.size("parity_b"))
+    both = [_folded(F.col(f"parity_{k}"), words) for k in "ab"]
+    unlike = F.zip_with(*both, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(unlike, F.lit(0), lambda total, x: total + x)
-    crossed = crossed.where(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+    alike = light.where(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+    alike = written(alike.select("a", "b"), "jaccard-alike")
+    crossed = _attached(alike, sets, ["others"])
+    for i in range(ORDERS - 1):
+        crossed = crossed.where(F.arrays_overlap(F.col("others_a")[i], F.col("others_b")[i]))
     crossed = written(crossed.select("a", "b"), "jaccard-crossed")
     wanted = crossed.select(F.col("a").alias("id")).union(crossed.select("b")).distinct()
     known = bit_filter(wanted, "id")
@@ -392,14 +413,15 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WI
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``df`` with the document of the smallest key of each group, and all rows
-    without a key. Of rows that repeat a key, one stays."""
+    without a key. Of rows that repeat a key and a text, one stays; different texts
+    under one key all do."""
     linked = written(link(df, key, text, **options), "jaccard-linked").where(F.col(key).isNotNull())
     mine = free_name(df, "kept_key")
     stay = linked.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(mine)).distinct()
     kept = df.join(stay, df[key].cast("long") == F.col(mine), "left_semi")
     repeated = linked.groupBy(key).count().where("count > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([key])
+        kept = kept.dropDuplicates([key, text])
     return kept.union(df.where(F.col(key).isNull()))
 
 
