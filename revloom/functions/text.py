@@ -64,6 +64,29 @@ def ngrams(tokens: Column, low: int, high: int) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def counted(items: Column) -> Column:
+    """Each different item of an array with its number: array of (term, tf).
+
+    Equal items stand together once the array is sorted, so a number is the distance
+    between the ends of two runs.
+    """
+
+    def runs(ordered: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(ordered))
+        last = F.filter(places, lambda i: ~F.get(ordered, i - 1).eqNullSafe(F.get(ordered, i)))
+        return let(last, lambda ends: F.transform(ends, lambda e, k: F.struct(
+            F.get(ordered, e - 1).alias("term"),
+            (e - F.coalesce(F.get(ends, k - 1), F.lit(0))).cast("long").alias("tf"),
+        )))
+
+    return F.when(F.size(items) > 0, let(F.array_sort(items), runs))
+
+
 def each(
     df: DataFrame, keys: list[str], items: Column, name: str, position: str | None = None
 ) -> DataFrame:

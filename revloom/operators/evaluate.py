@@ -55,3 +55,16 @@ def report(parts: list[DataFrame]) -> DataFrame:
     """Confusion counts and metrics of several models side by side."""
     counts = confusion(reduce(DataFrame.unionByName, parts))
     return counts.join(metrics(counts), "model")
+
+
+def curve_row(df: DataFrame, number: int, truth: str, score: str, prediction: str) -> DataFrame:
+    """One row for a pass of a fit: mean squared error of the score, accuracy and counts."""
+    counts = confusion(predictions(df, "", truth, prediction)).drop("model")
+    loss = df.agg(F.avg(F.pow(F.col(score) - F.col(truth), 2)).alias("loss"))
+    rows = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
+    return (
+        counts.withColumn("pass", F.lit(number))
+        .withColumn("loss", loss.scalar())
+        .withColumn("accuracy", F.try_divide(F.col("tp") + F.col("tn"), rows) * 100)
+        .select("pass", "loss", "accuracy", "tp", "fp", "tn", "fn")
+    )

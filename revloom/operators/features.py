@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revloom.functions import text as tx
 from revloom.operators import ordered
-from revloom.session import written
+from revloom.session import spread, written
 
 # Terms that hold more than 1 / HOT_SHARE of all rows are handled apart.
 HOT_SHARE = 10_000
 
 
-def term_rows(
-    df: DataFrame, keys: list[str], text: str, low: int = 1, high: int = 1, tokenizer: str = "word"
-) -> DataFrame:
-    """One row per n-gram occurrence."""
-    tokens = df.select(*keys, tx.TOKENIZERS[tokenizer](F.col(text)).alias("_tokens"))
-    grams = F.col("_tokens") if high == 1 else tx.ngrams(F.col("_tokens"), low, high)
-    return tx.each(tokens, keys, grams, "term")
+def has_repeats(df: DataFrame, key: str) -> bool:
+    """Whether two rows have one key (reads only the keys; a null key counts as one).
+
+    Counts are combined per task first. This runs a job while the query is built.
+    """
+    return not df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
 
 def term_counts(
@@ -33,17 +32,19 @@ def term_counts(
 ) -> DataFrame:
     """(id, keep..., term, tf) for every term of every document.
 
-    ``keep`` are columns that depend on the id alone (label, split, shard). The
-    texts are distributed by id before they are cut, so counting needs no shuffle
-    of the far larger n-gram rows, and joins on the id find them in place.
+    ``keep`` are columns that depend on the id alone (label, split, shard). Terms are
+    counted inside their row, so neither texts nor n-grams are shuffled. Only where ids
+    repeat are the counts of their rows added up.
     """
     keys = [id_col, *(keep or [])]
-    placed = df.select(*keys, text).repartition(id_col)
-    return (
-        term_rows(placed, keys, text, low, high, tokenizer)
-        .groupBy(*keys, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    rows = spread(df.select(*keys, text), id_col)
+    tokens = rows.select(*keys, tx.TOKENIZERS[tokenizer](F.col(text)).alias("_tokens"))
+    grams = F.col("_tokens") if high == 1 else tx.let(F.col("_tokens"), lambda t: tx.ngrams(t, low, high))
+    # The outer form, as in ``each``.
+    counts = tokens.select(*keys, F.inline_outer(tx.counted(grams))).where(F.col("term").isNotNull())
+    if not has_repeats(df, id_col):
+        return counts
+    return counts.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"))
 
 
 def vocabulary(tf: DataFrame) -> DataFrame:
@@ -126,26 +127,32 @@ def with_all_documents(tf: DataFrame, docs: DataFrame, id_col: str) -> DataFrame
     )
 
 
-def fit_scale(tf: DataFrame, docs: DataFrame, by: list[str] | None = None) -> DataFrame:
+def fit_scale(
+    tf: DataFrame, docs: DataFrame, by: list[str] | None = None, fit_on: Column | None = None
+) -> DataFrame:
     """(by..., term, std, df), written: the population standard deviation of each term's count
     over all documents, those without the term included as zeros.
 
-    ``by`` fits separately, e.g. per shard. Only terms that vary are listed.
+    ``by`` fits separately, e.g. per shard; ``fit_on``, a condition on columns that both
+    tables have, on part of the documents, e.g. the training part. Only terms that vary
+    are listed. Moments (number, mean, sum of squared distances) are merged from task to
+    task, and at the end with those of the zeros, so no digits are lost as they are in
+    the difference of two large sums.
     """
     by = by or []
-    sums = tf.groupBy(*by, "term").agg(
-        F.sum("tf").alias("_s1"),
-        F.sum(F.col("tf") * F.col("tf")).alias("_s2"),
-        F.count(F.lit(1)).alias("df"),
+    if fit_on is not None:
+        tf, docs = tf.where(fit_on), docs.where(fit_on)
+    moments = tf.groupBy(*by, "term").agg(
+        F.avg("tf").alias("_mean"), F.var_pop("tf").alias("_var"), F.count(F.lit(1)).alias("df")
     )
     if by:
         sizes = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-        sums, n = sums.join(sizes, by), F.col("_n")
+        moments, n = moments.join(sizes, by), F.col("_n")
     else:
         n = docs.agg(F.count(F.lit(1))).scalar()
-    mean = F.col("_s1") / n
-    variance = F.greatest(F.col("_s2") / n - mean * mean, F.lit(0.0))
-    stds = sums.select(*by, "term", F.sqrt(variance).alias("std"), "df")
+    share = F.col("df") / n
+    variance = share * F.col("_var") + share * (1 - share) * F.col("_mean") * F.col("_mean")
+    stds = moments.select(*by, "term", F.sqrt(variance).alias("std"), "df")
     return written(stds.where(F.col("std") > 0), "scale")
 
 

@@ -50,6 +50,15 @@ def scaled_tf(spark, sf):
     return scaled.withColumn("tf_scaled", F.round("tf_scaled", 6))
 
 
+def scaled_tf_on_train(spark, sf):
+    """Deviations from the training part, applied to all documents."""
+    docs = split.holdout_split(_documents(spark, sf), "doc_id")
+    tf = written(features.term_counts(docs, "doc_id", "text", keep=["split"]), "counts")
+    stds = features.fit_scale(tf, docs, fit_on=F.col("split") == "train")
+    scaled = features.scale(tf, stds, "doc_id")
+    return scaled.withColumn("tf_scaled", F.round("tf_scaled", 6))
+
+
 def scaled_tf_by_shard(spark, sf):
     docs = _documents(spark, sf).withColumn("shard", F.col("doc_id") % 2)
     tf = written(features.term_counts(docs, "doc_id", "text", keep=["shard"]), "counts")
@@ -97,6 +106,7 @@ QUERIES = {
     "tf_fixed_vocab": tf_fixed_vocab,
     "tf_train_vocab": tf_train_vocab,
     "scaled_tf": scaled_tf,
+    "scaled_tf_on_train": scaled_tf_on_train,
     "scaled_tf_by_shard": scaled_tf_by_shard,
     "dataset_profile": dataset_profile,
     "features_labels_join": features_labels_join,
@@ -150,6 +160,14 @@ ORACLE = {
   round(tf / CASE WHEN std > 0 THEN std ELSE 1 END, 6) AS tf_scaled
 FROM tf JOIN ({_STD_SQL.format(by='', join=', (SELECT count(*) AS n FROM documents)')})
 USING (term)""",
+    "scaled_tf_on_train": views.with_sql(SPLIT_SQL, tf_sql("tf", "docs", "doc_id, split"))
+    + """, n AS (SELECT count(*)::HUGEINT AS n FROM docs WHERE split = 'train'),
+stds AS (
+  SELECT term, CASE WHEN any_value(n) * sum(tf * tf) > sum(tf) * sum(tf)
+    THEN sqrt((any_value(n) * sum(tf * tf) - sum(tf) * sum(tf))::DOUBLE) / any_value(n) END AS std
+  FROM tf, n WHERE split = 'train' GROUP BY term)
+SELECT doc_id, split, term, tf, round(tf / coalesce(std, 1), 6) AS tf_scaled
+FROM tf LEFT JOIN stds USING (term)""",
     "scaled_tf_by_shard": views.with_sql(
         "docs AS (SELECT doc_id, text, doc_id % 2 AS shard FROM documents)",
         tf_sql("tf", "docs", "doc_id, shard"),

@@ -83,6 +83,29 @@ def intake_counts(spark, sf):
     return pages.intake_counts(spark, path, one_page_per_file=False)
 
 
+def file_guard(spark, sf):
+    """Files on both sides of a limit: whole pages of documents, each file larger than
+    the texts of the smallest page, and files of one short benchmark item each."""
+    path = scratch_path(spark, "guarded")
+    store.write_pages(_nested(spark, sf).repartition("title"), path)
+    items = views.table(spark, sf, "benchmark").select(
+        F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("page"),
+        F.lit(1).cast("long").alias("rev"),
+        F.col("text").alias("content"),
+        F.array().cast("array<string>").alias("tags"),
+    )
+    nested = pages.nest_pages(corpus.as_revisions(items), ["rev"])
+    nested.write.mode("append").option("maxRecordsPerFile", 1).json(path)
+    docs = views.table(spark, sf, "documents")
+    limit = pages.page_sizes(docs, "source", "text").agg(F.min("page_bytes")).first()[0]
+    counts = pages.intake_counts(spark, path, limit or 0, one_page_per_file=False)
+    read = pages.read_pages(spark, path, limit or 0, one_page_per_file=False)
+    rows = pages.read_revisions(read).agg(
+        F.count(F.lit(1)).alias("revisions"), F.count_if(F.startswith("title", F.lit("item "))).alias("items")
+    )
+    return counts.select("*", *[rows.select(c).scalar().alias(c) for c in rows.columns])
+
+
 def first_n_pages(spark, sf):
     return pages.first_files(views.rev(spark, sf), FIRST_N, "page").select(
         "page", "rev", F.length("content").cast("long").alias("chars")
@@ -246,6 +269,7 @@ QUERIES = {
     "revision_scan": revision_scan,
     "size_guard": size_guard,
     "intake_counts": intake_counts,
+    "file_guard": file_guard,
     "first_n_pages": first_n_pages,
     "incremental_skip": incremental_skip,
     "incremental_stream": incremental_stream,
@@ -320,6 +344,11 @@ WHERE page_bytes <= (SELECT sum(strlen(text)) // count(DISTINCT source) FROM doc
 FROM (SELECT source, CAST(substr(source, 4) AS INTEGER) % 4 AS k,
     unnest(range((count(*) + {pages.REVISIONS_PER_ROW - 1}) // {pages.REVISIONS_PER_ROW})) AS row
   FROM documents GROUP BY source)""",
+    "file_guard": f"""SELECT rows + items AS stored, items AS kept, rows AS too_large,
+  0 AS corrupt, 0 AS without_revisions, items AS revisions, items
+FROM (SELECT count(*) AS items FROM benchmark), (
+  SELECT CAST(sum((n + {pages.REVISIONS_PER_ROW - 1}) // {pages.REVISIONS_PER_ROW}) AS BIGINT) AS rows
+  FROM (SELECT count(*) AS n FROM documents GROUP BY source))""",
     "first_n_pages": f"""SELECT source AS page, doc_id AS rev, length(text) AS chars FROM documents
 WHERE source IN (SELECT DISTINCT source FROM documents ORDER BY source LIMIT {FIRST_N})""",
     "incremental_skip": """SELECT doc_id, source FROM documents

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revloom.functions.labels import label
-from revloom.operators import bayes, cleaning, diff, evaluate, features, models, split, tokens
+from revloom.operators import bayes, cleaning, diff, evaluate, features, linear, models, split, tokens
 from revloom.plans import views
 from revloom.plans.changes import diff_text_cte
-from revloom.plans.features import HOLDOUT_SQL, LABELLED_SQL, SEEDED_SQL, tf_sql
+from revloom.plans.features import HASH_SQL, HOLDOUT_SQL, LABELLED_SQL, SEEDED_SQL, tf_sql
 from revloom.session import scratch_path, written
 from revloom.sources import store
 
@@ -143,6 +146,38 @@ def nb_scaled(spark, sf):
     return evaluate.confusion(evaluate.predictions(judged, "scaled diff", "label", "prediction"))
 
 
+# Batches per shard of the classifier that is trained shard by shard.
+STEPS = 2
+
+
+def _by_shards(spark, sf):
+    """One pass over two shards, the second going on where the first ended."""
+    docs = _labelled(spark, sf).withColumn("shard", F.col("doc_id") % 2)
+    tf = written(features.term_counts(docs, "doc_id", "text", keep=["split", "shard"]), "counts")
+    model = None
+    for one in (0, 1):
+        train = _part(docs, "train").where(F.col("shard") == one)
+        mine = _part(tf, "train").where(F.col("shard") == one)
+        model = linear.fit_shards(mine, train, "doc_id", batches=STEPS, start=model)
+    return model, tf, docs
+
+
+def linear_by_shards(spark, sf):
+    """The weights after one pass, and the bias as the weight of no term."""
+    model, _, _ = _by_shards(spark, sf)
+    bias = spark.range(1).select(F.lit(None).cast("string").alias("term"), F.lit(model.bias).alias("weight"))
+    rows = model.weights.select("term", "weight").unionByName(bias)
+    return rows.withColumn("weight", F.round("weight", 9))
+
+
+def linear_predict(spark, sf):
+    """Scores and classes of the documents held out, by the model after one pass."""
+    model, tf, docs = _by_shards(spark, sf)
+    test = _part(docs, "test").select("doc_id", "label")
+    judged = linear.predict(model, _part(tf, "test"), test, "doc_id")
+    return judged.withColumn("score", F.round("score", 6))
+
+
 def _vectors(spark, sf, high):
     docs = _labelled(spark, sf)
     return models.with_terms(docs, "text", 1, high)
@@ -159,15 +194,20 @@ def _linear(spark, sf):
     return _transformed(models.fit_linear(_part(docs, "train")), docs)
 
 
-def _net(spark, sf):
-    """The net on the wide label of documents that have tags and a text."""
+def _net_documents(spark, sf):
+    """The wide label of documents that have tags and a text, with their terms."""
     tagged = views.rev_tagged(spark, sf).where("tags is not null and content is not null")
     docs = tagged.select(
         F.col("rev").alias("doc_id"),
         F.col("content").alias("text"),
         label(F.col("tags"), "wide").alias("label"),
     )
-    docs = models.with_terms(split.seeded_split(docs, "doc_id"), "text")
+    return models.with_terms(split.seeded_split(docs, "doc_id"), "text")
+
+
+def _net(spark, sf):
+    """The net after its last pass, on the documents held out."""
+    docs = _net_documents(spark, sf)
     model = models.fit_net(_part(docs, "train"))
     scored = models.positive_score(model.transform(_part(docs, "test")).drop("prediction"))
     return evaluate.threshold(scored, "score").select("doc_id", "label", "score", "prediction")
@@ -189,6 +229,16 @@ def linear_svm(spark, sf):
     return _judged(_linear(spark, sf))
 
 
+def linear_svm_scores(spark, sf):
+    """What the linear classifier says of each document held out."""
+    return _linear(spark, sf)
+
+
+def mlp_scores(spark, sf):
+    """Score and class that the net gives each document held out."""
+    return _net(spark, sf)
+
+
 def mlp_classifier(spark, sf):
     return _judged(_net(spark, sf).where("score between 0 and 1"))
 
@@ -233,6 +283,22 @@ def full_report(spark, sf):
     return evaluate.report(parts)
 
 
+def model_metrics(spark, sf):
+    """The whole report: counts and metrics of every model."""
+    return full_report(spark, sf)
+
+
+def validation_curve(spark, sf):
+    """Loss and counts of the net on the rows held out, after each pass."""
+    docs = _net_documents(spark, sf)
+    train, test = _part(docs, "train"), _part(docs, "test")
+    parts = []
+    for number, model in enumerate(models.net_passes(train), start=1):
+        judged = models.positive_score(model.transform(test).drop("prediction"))
+        parts.append(evaluate.curve_row(evaluate.threshold(judged, "score"), number, "label", "score", "prediction"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def model_report(spark, sf):
     """The part of the report that does not depend on a solver."""
     rows = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
@@ -247,10 +313,16 @@ QUERIES = {
     "nb_incremental": nb_incremental,
     "nb_predict": nb_predict,
     "nb_ml": nb_ml,
+    "linear_by_shards": linear_by_shards,
+    "linear_predict": linear_predict,
     "linear_svm": linear_svm,
     "doc_embedding": doc_embedding,
     "mlp_classifier": mlp_classifier,
     "embedding_features": embedding_features,
+    "linear_svm_scores": linear_svm_scores,
+    "mlp_scores": mlp_scores,
+    "model_metrics": model_metrics,
+    "validation_curve": validation_curve,
     "confusion": confusion,
     "metrics": metrics,
     "model_report": model_report,
@@ -329,6 +401,41 @@ _ROUNDED_MODEL_SQL = views.with_sql(LABELLED_SQL, *_MODEL_SQL) + (
     "SELECT label, term, round(log_prob, 6) AS log_prob, round(log_prior, 6) AS log_prior FROM model"
 )
 
+
+
+def _linear_sql() -> list[str]:
+    """A CTE per figure and step of one pass over two shards."""
+    parts = [
+        LABELLED_SQL,
+        tf_sql("tf", "docs", "doc_id, split"),
+        f"""train AS (SELECT doc_id, label, doc_id % 2 AS shard,
+  {HASH_SQL.format("CAST(doc_id AS VARCHAR)")} % {STEPS} AS batch FROM docs WHERE split = 'train')""",
+        """first AS (SELECT 1 + sum(tf * tf)
+    / (SELECT count(*) FROM train WHERE shard = 0 AND batch = 0) AS norm
+  FROM tf JOIN train USING (doc_id) WHERE shard = 0 AND batch = 0)""",
+        "w0 AS (SELECT CAST(NULL AS VARCHAR) AS term, CAST(0 AS DOUBLE) AS weight WHERE false)",
+        "b0 AS (SELECT CAST(0 AS DOUBLE) AS bias)",
+    ]
+    for k in range(1, 2 * STEPS + 1):
+        shard, batch = divmod(k - 1, STEPS)
+        rate = f"(SELECT {linear.RATE} / (norm * sqrt({k})) FROM first)"
+        parts += [
+            f"""f{k} AS MATERIALIZED (
+  SELECT t.doc_id, 2 * t.label - 1 AS y, (SELECT bias FROM b{k - 1}) + coalesce(sum(tf.tf * w.weight), 0) AS f
+  FROM train t LEFT JOIN tf USING (doc_id) LEFT JOIN w{k - 1} w ON w.term = tf.term
+  WHERE t.shard = {shard} AND t.batch = {batch} GROUP BY t.doc_id, t.label)""",
+            f"""b{k} AS MATERIALIZED (SELECT (SELECT bias FROM b{k - 1})
+  + {rate} * sum(CASE WHEN y * f < 1 THEN y ELSE 0 END) / count(*) AS bias FROM f{k})""",
+            f"""g{k} AS (SELECT term, sum(y * tf) / (SELECT count(*) FROM f{k}) AS pull
+  FROM f{k} JOIN tf USING (doc_id) WHERE y * f < 1 GROUP BY term)""",
+            f"""w{k} AS MATERIALIZED (SELECT term,
+  coalesce(weight, 0) * (1 - {rate} * {linear.L2}) + coalesce(pull, 0) * {rate} AS weight
+  FROM w{k - 1} FULL JOIN g{k} USING (term))""",
+        ]
+    return parts
+
+
+_LAST = 2 * STEPS
 _TEST_SQL = "SELECT doc_id, label, 1 AS judged FROM docs WHERE split = 'test'"
 _NET_SQL = f"""net AS (
   SELECT doc_id, CAST(list_has_any(tags, ['mw-reverted', 'Reverted', 'mw-manual-revert'])
@@ -336,6 +443,13 @@ _NET_SQL = f"""net AS (
   WHERE text IS NOT NULL)"""
 
 ORACLE = {
+    "linear_by_shards": views.with_sql(*_linear_sql())
+    + f"SELECT term, round(weight, 9) AS weight FROM w{_LAST} UNION ALL SELECT NULL, round(bias, 9) FROM b{_LAST}",
+    "linear_predict": views.with_sql(*_linear_sql())
+    + f"""SELECT doc_id, label, round(score, 6) AS score, CAST(score > 0 AS INTEGER) AS prediction
+FROM (SELECT d.doc_id, d.label, (SELECT bias FROM b{_LAST}) + coalesce(sum(tf.tf * w.weight), 0) AS score
+  FROM docs d LEFT JOIN tf USING (doc_id) LEFT JOIN w{_LAST} w ON w.term = tf.term
+  WHERE d.split = 'test' GROUP BY d.doc_id, d.label)""",
     "nb_ml": views.with_sql(LABELLED_SQL) + _TEST_SQL,
     "linear_svm": views.with_sql(LABELLED_SQL) + _TEST_SQL,
     "embedding_features": views.with_sql(LABELLED_SQL)

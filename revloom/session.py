@@ -61,9 +61,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, folders: list[str] | None = None) -> DataFrame:
     """Cut the lineage of ``df``: write it as Parquet to the shared folder and
-    read it back. It survives lost executors and keeps column pruning."""
+    read it back. It survives lost executors and keeps column pruning. ``folders``
+    are columns by whose values the files are kept apart, the last ones of ``df``."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from tests import oracle
 from tests.conftest import SF
 
 SQL = catalog.oracle_sql()
-LEARNED = {"embedding_features", "nb_ml", "linear_svm", "doc_embedding", "mlp_classifier", "model_report"}
+LEARNED = {"linear_by_shards", "linear_predict", "embedding_features", "nb_ml", "linear_svm", "doc_embedding", "mlp_classifier", "model_report"}
 # Queries that run jobs or train while they are built are not explained again.
 EAGER = LEARNED | {
     "incremental_stream",
@@ -18,6 +18,7 @@ EAGER = LEARNED | {
     "features_labels_join",
     "ledger_first_wins",
     "intake_counts",
+    "file_guard",
     "nb_scaled",
     "titles_stored",
     "revisions_by_shard",
@@ -32,8 +33,12 @@ def con():
     return oracle.connect(SF)
 
 
-def test_every_query_has_sql():
-    assert set(catalog.queries()) == set(SQL)
+# What solvers give; the rows of these queries are tested by skill below.
+SOLVED = {"linear_svm_scores", "mlp_scores", "model_metrics", "validation_curve", "document_vectors"}
+
+
+def test_every_other_query_has_sql():
+    assert set(catalog.queries()) - set(SQL) == SOLVED
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -268,3 +268,34 @@ def test_any_order_of_pieces_gives_what_one_batch_gives(spark, tmp_path):
     # Whole pages need nothing kept but their oldest revision.
     last = spark.read.parquet(state).groupBy("title").agg(F.max_by(F.struct("batch", "pos"), "batch").alias("x"))
     assert last.count() == 3
+
+
+def test_large_files_are_pruned_before_the_scan(spark, folder):
+    """The scan opens only files below the limit: it reads fewer rows and files."""
+
+    def scanned(limit):
+        stored = pages.read_pages(spark, folder, max_bytes=limit)
+        plan = stored._jdf.queryExecution().executedPlan()
+        stored._jdf.queryExecution().toRdd().count()
+        while plan.children().size():
+            plan = plan.children().head()
+        return plan.metrics().apply("numFiles").value()
+
+    assert (scanned(None), scanned(2000)) == (4, 3)
+
+
+def test_a_shard_has_a_bounded_number_of_files(spark, tmp_path):
+    """Also where all rows are in one shard and come from many tasks."""
+    path = tmp_path / "features"
+    rows = spark.range(20_000).select("id", (F.col("id") % 50 == 0).cast("int").alias("shard"), F.lit("t").alias("term"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.write_features(rows.repartition(40), str(path), files=3)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for shard in (0, 1):
+        assert 1 <= len(list((path / f"shard={shard}").glob("part-*"))) <= 3
+    assert store.read_features(spark, str(path)).count() == 20_000
+    more = spark.createDataFrame([(7, 2, "u"), (8, 0, "v")], "id long, shard int, term string")
+    store.write_features(more, str(path), files=3)
+    assert store.read_features(spark, str(path)).count() == 20_001
