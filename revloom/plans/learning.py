@@ -18,6 +18,8 @@ from revloom.session import scratch_path, written
 from revloom.sources import store
 
 LONG_TEXT = 1_000
+# Passes over the words where the vectors of documents are trained afterwards.
+WORD_PASSES = 5
 
 
 def _labelled(spark, sf):
@@ -276,6 +278,17 @@ def doc_embedding(spark, sf):
     )
 
 
+def document_vectors(spark, sf):
+    """A trained vector per document: words fitted on those without a label, vectors
+    inferred for all, seen and unseen alike."""
+    docs = views.table(spark, sf, "documents").select("doc_id", "text")
+    labels = views.table(spark, sf, "labels").select("doc_id")
+    words = lambda df: tokens.tagged(df, "doc_id", "text", "word").select("doc_id", "tag", "words")
+    model = models.fit_embedding(words(docs.join(labels, "doc_id", "left_anti")), passes=WORD_PASSES)
+    vectors = models.infer_vectors(model, words(docs), "doc_id")
+    return vectors.select("doc_id", F.transform("vector", lambda x: F.round(x, 4)).alias("vector"))
+
+
 def full_report(spark, sf):
     """Counts and metrics of all models on the rows held out from each."""
     models_of = {"naive bayes": _predicted, "linear": _linear, "net": _net}
@@ -319,6 +332,7 @@ QUERIES = {
     "doc_embedding": doc_embedding,
     "mlp_classifier": mlp_classifier,
     "embedding_features": embedding_features,
+    "document_vectors": document_vectors,
     "linear_svm_scores": linear_svm_scores,
     "mlp_scores": mlp_scores,
     "model_metrics": model_metrics,

@@ -1,6 +1,8 @@
 import math
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,3 +232,61 @@ def test_scale_keeps_digits_of_large_counts(spark):
     tf = spark.createDataFrame([(i, "t", n + i % 2) for i in range(4)], "doc_id long, term string, tf long")
     stds = features.fit_scale(tf, spark.range(4).withColumnRenamed("id", "doc_id"))
     assert stds.first()["std"] == pytest.approx(0.5, rel=1e-6)
+
+
+def test_document_vectors_of_seen_and_unseen_texts(spark):
+    """Two topics; a document lies nearer to its topic, also one that was never seen."""
+    topics = ["king queen crown throne court", "tree leaf root branch bark"]
+    rng = random.Random(1)
+    text = lambda t: " ".join(rng.choices(topics[t].split(), k=8))
+    seen = [(i, text(i % 2)) for i in range(60)]
+    new = [(100 + i, text(i % 2)) for i in range(10)] + [(200, seen[0][1]), (201, "zzz !"), (202, "")]
+    words = lambda rows: tokens.tagged(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", "word")
+    model = models.fit_embedding(words(seen), dimensions=16, passes=5, partitions=2)
+    infer = lambda rows, n: {r[0]: np.array(r[1]) for r in models.infer_vectors(model, words(rows).repartition(n), "doc_id").collect()}
+    old, fresh = infer(seen, 1), infer(new, 3)
+    again = infer(new, 2)
+    assert all((fresh[k] == again[k]).all() for k in fresh) and len(fresh) == 13
+    assert (fresh[200] == old[0]).all() and not fresh[201].any() and not fresh[202].any()
+    centre = [np.mean([v for k, v in old.items() if k % 2 == t], axis=0) for t in (0, 1)]
+    cosine = lambda a, b: a @ b / np.linalg.norm(a) / np.linalg.norm(b)
+    for k in range(100, 110):
+        assert cosine(fresh[k], centre[k % 2]) > cosine(fresh[k], centre[1 - k % 2]) + 0.01
+
+
+def test_document_vector_is_the_maximum(spark):
+    """More passes come nearer to where the pulls cancel out."""
+    rng = np.random.default_rng(0)
+    words, noise = rng.normal(size=(6, 4)), rng.normal(size=(30, 4))
+    counts = np.array([1, 2, 1, 3, 1, 1])
+    last = models.document_vector(counts, words, noise, 5000)
+    far = [np.linalg.norm(models.document_vector(counts, words, noise, n) - last) for n in (1, 10, 30, 300)]
+    assert far == sorted(far, reverse=True) and far[2] < 0.2 * np.linalg.norm(last)
+
+
+def net_rows(n, seed):
+    rng = random.Random(seed)
+    rows = []
+    for d in range(n):
+        label = int(rng.random() < 0.35)
+        noise = " ".join(rng.choices([f"w{i}" for i in range(20)], k=12))
+        rows.append((d, label, f"{noise} {'bad worse' if label else 'good fine'}" if rng.random() < 0.9 else noise))
+    return rows
+
+
+def test_net_after_each_pass(spark):
+    """The loss on held-out rows falls; the last pass is what the plain fit gives."""
+    df = models.with_terms(spark.createDataFrame(net_rows(500, 2), "doc_id long, label int, text string"), "text")
+    parts = split.seeded_split(df, "doc_id")
+    train, test = (parts.where(F.col("split") == p).cache() for p in ("train", "test"))
+    rows, judged = [], None
+    for number, model in enumerate(models.net_passes(train, 128, 10), start=1):
+        judged = evaluate.threshold(models.positive_score(model.transform(test).drop("prediction")), "score")
+        rows.append(evaluate.curve_row(judged, number, "label", "score", "prediction").first())
+    assert [r["pass"] for r in rows] == [*range(1, 11)] and rows[-1]["loss"] < rows[0]["loss"]
+    plain = models.positive_score(models.fit_net(train, 128, 10).transform(test).drop("prediction"))
+    plain = evaluate.threshold(plain, "score")
+    report = evaluate.report([evaluate.predictions(plain, "net", "label", "prediction")]).first()
+    assert [report[c] for c in ("tp", "fp", "tn", "fn")] == [rows[-1][c] for c in ("tp", "fp", "tn", "fn")]
+    larger = max(test.where("label = 0").count(), test.where("label = 1").count()) / test.count()
+    assert rows[-1]["accuracy"] > 100 * larger + 5
