@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+from pathlib import Path
 
 import pytest
 from tokenizers import Tokenizer
@@ -86,3 +87,20 @@ def test_nulls_clashing_names_and_empty_table(spark):
     got = {(r.doc_id, r.decoded, tuple(r.ids_)) for r in out.collect()}
     assert (1, "x", ()) in got and (3, "y", ()) in got and out.count() == 4
     assert bpe.round_trip(df.limit(0)).count() == 0
+
+
+def test_side_by_side_merges_are_those_of_one_at_a_time(monkeypatch):
+    """Random pre-tokens of all widths, many together, against a tree each."""
+    codec = bpe.Codec(json.loads(Path(bpe.vocabulary_path()).read_text(encoding="utf-8")))
+    rng = random.Random(8)
+    parts = {"".join(rng.choice("abthe ingé東1\n") for _ in range(rng.randrange(1, 64))) for _ in range(2000)}
+    for leaves in (1, 2, 4, 8, 16, 32, 64):
+        own = [p for p in parts if 2 <= len(p.encode()) <= 64 and 1 << (len(p.encode()) - 2).bit_length() == leaves]
+        codec._learn_parts(own, leaves + 1)
+        assert all(codec.parts[p] == codec._encode_part(p) for p in own)
+    # With tables of a few entries, what is lost on the way is encoded again.
+    texts = [" ".join(rng.sample(sorted(parts), 20)) for _ in range(30)]
+    whole = [x.tolist() for x in codec.encode_all(texts)]
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 5)
+    small = bpe.Codec(json.loads(Path(bpe.vocabulary_path()).read_text(encoding="utf-8")))
+    assert [x.tolist() for x in small.encode_all(texts)] == whole
