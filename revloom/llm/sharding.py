@@ -100,5 +100,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The checksum is taken byte by byte through a table made by its rule; ``hex`` gives two
+# digits for each byte of UTF-8.
+OP10_SQL = f"""
+WITH RECURSIVE bits AS (
+  SELECT i AS byte, i::UBIGINT AS c, 0 AS step FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8
+),
+crc AS MATERIALIZED (SELECT list(c ORDER BY byte) AS t FROM bits WHERE step = 8),
+d AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) + {ROW_BYTES} AS size,
+    xor(4294967295::UBIGINT, list_reduce(
+      [('0x' || x)::UBIGINT FOR x IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')],
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255)::BIGINT + 1]), 4294967295::UBIGINT)) AS text_crc32
+  FROM documents, crc
+),
+p AS (
+  SELECT *, sum(size) OVER w - size AS before, row_number() OVER w AS place, sum(size) OVER () AS total
+  FROM d WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING)
+),
+s AS (SELECT *, least({SHARDS - 1}, ((2 * before + size) * {SHARDS}) // (2 * total))::INTEGER AS shard FROM p)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  place - min(place) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard
+FROM s
+"""
+
 QUERIES = {"op10_sharding": op10_sharding}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op10_sharding": OP10_SQL}

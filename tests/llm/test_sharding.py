@@ -2,9 +2,11 @@
 
 import zlib
 
+import duckdb
 from pyspark.sql import functions as F
 
 from revloom.llm import sharding
+from tests import oracle
 from tests.conftest import SF
 
 
@@ -43,3 +45,18 @@ def test_repeated_and_null_keys_stay_whole(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "k long, size long")
     assert sharding.assign(df, ["k"]).count() == 0
+
+
+def test_query_matches_sql(spark):
+    con = oracle.connect(SF)
+    assert oracle.compare(sharding.op10_sharding(spark, SF), con, sharding.OP10_SQL) is None
+
+
+def test_sql_of_null_empty_and_large_rows(spark, tmp_path):
+    """A null text, an empty one, and a row larger than a shard."""
+    rows = [(3, None), (1, ""), (2, "é" * 5000)] + [(10 + i, "text " * (i % 7)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert oracle.compare(sharding.op10_sharding(spark, str(tmp_path)), con, sharding.OP10_SQL) is None
