@@ -340,18 +340,20 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
         crossed = crossed.where(F.arrays_overlap(F.col("others_a")[i], F.col("others_b")[i]))
     crossed = written(crossed.select("a", "b"), "jaccard-crossed")
     wanted = crossed.select(F.col("a").alias("id")).union(crossed.select("b")).distinct()
-    known = bit_filter(wanted, "id")
+    # Sixteen bits for each text that is wanted: few others pass, and none is lost.
+    bits = 1 << min(27, max(20, (16 * wanted.count()).bit_length()))
+    known = bit_filter(wanted, "id", bits)
 
     def only_known(frames):
         codec = zstandard.ZstdCompressor(level=3)
         for frame in frames:
-            own = frame[passes(known.value, frame["id"].to_numpy())]
+            own = frame[passes(known.value, frame["id"].to_numpy(), bits)]
             yield own.assign(text=[codec.compress((t or "").encode()) for t in own["text"]])
         release()
 
     # Compressed texts: they travel once per pair.
     texts = docs.where("not missing").select("id", "text").mapInPandas(only_known, "id long, text binary")
-    texts = written(texts.join(wanted, "id"), "jaccard-texts")
+    texts = written(texts, "jaccard-texts")
     a, b = (texts.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
 
     def run(frames):
