@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from revloom.llm.common import free_name, release, slices, table
 
 # Entries in either half of a worker's tables of chunks and of pre-tokens.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 50_000
+# Texts whose new chunks are encoded together.
+ROWS = 64
 # Chunks longer than this many characters are encoded each time they occur.
 CACHED_CHARS = 64
 
@@ -346,7 +348,7 @@ def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids", deco
 
     def run(frames):
         codec = _codec(vocabulary)
-        for frame in slices(frames):
+        for frame in slices(frames, ROWS):
             column = frame.column(frame.schema.get_field_index(text)).to_pylist()
             found = codec.encode_all(column)
             ends = np.cumsum([0, *map(len, found)], dtype=np.int64).astype(np.int32)
