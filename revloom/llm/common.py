@@ -176,13 +176,13 @@ def look_up(rows: DataFrame, values: DataFrame, on: list[str], hot: DataFrame, n
     return many.unionByName(few)
 
 
-def components(links: DataFrame, name: str, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, name: str) -> DataFrame:
     """(node, component): smallest node reachable over undirected ``links`` (a, b).
 
     Each round gives every node the smallest label among its neighbours, then
     follows that label once more, so the rounds grow with the logarithm of the
     longest path. Labels are written to the shared folder between rounds; nodes
-    without a link are not in the result.
+    without a link are not in the result. It ends when a round changes no label.
     """
     both = written(
         links.where("a != b").select("a", "b").union(links.where("a != b").select("b", "a")).distinct(),
@@ -192,7 +192,7 @@ def components(links: DataFrame, name: str, rounds: int = 60) -> DataFrame:
         both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")),
         f"{name}-labels",
     )
-    for _ in range(rounds):
+    while True:
         near = (
             both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("near")), "b")
             .groupBy("a")
@@ -210,4 +210,3 @@ def components(links: DataFrame, name: str, rounds: int = 60) -> DataFrame:
         labels = new.select("node", "label")
         if new.where("label != was").isEmpty():
             return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

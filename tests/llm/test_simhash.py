@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 from revloom.llm import simhash
-from revloom.llm.common import table
+from revloom.llm.common import components, table
 from tests.conftest import SF
 
 
@@ -134,3 +134,13 @@ def test_hot_fingerprint(spark):
 
 def test_empty_table(spark):
     assert got(simhash.link(spark.createDataFrame([], "doc_id long, text string"))) == []
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    """Labels travel far in few rounds; a node with very many links is no burden."""
+    rng = random.Random(6)
+    chain = rng.sample(range(1000, 2000), 150)
+    links = list(zip(chain, chain[1:], strict=False)) + [(3, 3000 + i) for i in range(300)] + [(7, 7)]
+    rng.shuffle(links)
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), "test").collect()}
+    assert found == dict.fromkeys(chain, min(chain)) | dict.fromkeys([3, *range(3000, 3300)], 3)
