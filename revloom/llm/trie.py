@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from itertools import count as attempts
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -203,11 +204,16 @@ def digests(ends: DataFrame) -> DataFrame:
 
     def piece(frames):
         for frame in frames:
-            for keys, part in frame.groupby(KEY, sort=False):
-                ids = part["c"].tolist()
-                for at in range(0, len(ids), PIECE):
-                    text = ",".join(map(str, ids[at : at + PIECE]))
-                    yield pd.DataFrame([(*keys, ids[at], text)], columns=[*KEY, "c", "ids"])
+            if not len(frame):
+                continue
+            keys, ids = frame[KEY].to_numpy(), frame["c"].to_numpy()
+            new = np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1)))
+            # A piece begins with a key and after so many ids of one key.
+            place = np.arange(len(ids)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+            starts = np.flatnonzero(place % PIECE == 0)
+            names = list(map(str, ids.tolist()))
+            texts = [",".join(names[i:j]) for i, j in zip(starts, [*starts[1:], len(names)], strict=True)]
+            yield pd.DataFrame(keys[starts], columns=KEY).assign(c=ids[starts], ids=texts)
 
     def digest(frames):
         key, state = None, None
@@ -226,21 +232,10 @@ def digests(ends: DataFrame) -> DataFrame:
 
     schema = "depth long, k1 long, k2 long"
     in_order = ends.select(*KEY, "c").repartitionByRange(*KEY, "c").sortWithinPartitions(*KEY, "c")
-    pieces = in_order.mapInPandas(_grouped(piece), f"{schema}, c long, ids string")
+    pieces = in_order.mapInPandas(piece, f"{schema}, c long, ids string")
     return pieces.repartition(*KEY).sortWithinPartitions(*KEY, "c").mapInPandas(digest, f"{schema}, ends_sha256 string")
 
 
-def _grouped(work):
-    """Pieces of a batch as one frame."""
-
-    def run(frames):
-        for frame in frames:
-            if len(frame):
-                yield pd.concat(list(work([frame])))
-
-    return run
-
-
 def trie(df: DataFrame) -> DataFrame:
     """One row per node of the trie of the rebuilt conversations of ``df``.
 
