@@ -44,6 +44,9 @@ HEADLINE = [
     "reverted_from_diff",
     "nb_scaled",
     "incremental_stream",
+    "ordered_diff",
+    "scaled_tf_on_train",
+    "linear_predict",
 ]
 
 
