@@ -32,6 +32,28 @@ def test_term_counts_shuffle_nothing(docs):
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_terms_are_sorted_without_a_comparator(docs):
+    plan = features.term_counts(docs, "doc_id", "text", 1, 2)._jdf.queryExecution().analyzed().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
+
+
+def test_narrow_rows_are_ranked_without_a_join(tf):
+    plan = features.indexed_vocabulary(tf, block_rows=1)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join") == 1  # with the totals of the partitions
+
+
+@pytest.mark.parametrize("hot_share", [1, 4, 10_000])
+def test_look_up_of_stored_rows(spark, tf, monkeypatch, hot_share):
+    monkeypatch.setattr(features, "HOT_SHARE", hot_share)
+    table = spark.createDataFrame([("blue", 90, "b"), ("red", 9, "r"), ("sea", 1, "s")], "term string, w long, v string")
+    key = lambda df: sorted(map(tuple, df.collect()), key=str)
+    args = (tf, table, ["term"], "w", ["v"], "doc_id")
+    assert key(features.look_up(*args, stored=True)) == key(features.look_up(*args))
+    # Rows that the frequent terms answer reach no shuffle.
+    plan = features.look_up(*args, stored=True)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("LeftAnti") == 1
+
+
 def test_vocabulary_index_and_hot_ranking(tf):
     plain = {r["term"]: tuple(r) for r in features.indexed_vocabulary(tf).collect()}
     assert [t for t in sorted(plain)] == ["blue", "green", "red", "sky"]
