@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revloom.operators import bayes, cleaning, evaluate, features, models, split, tokens
+from revloom.session import scratch_path
 
 DOCS = [
     (1, 0, "red red blue"),
@@ -312,3 +313,24 @@ def test_net_after_each_pass(spark):
     assert [report[c] for c in ("tp", "fp", "tn", "fn")] == [rows[-1][c] for c in ("tp", "fp", "tn", "fn")]
     larger = max(test.where("label = 0").count(), test.where("label = 1").count()) / test.count()
     assert rows[-1]["accuracy"] > 100 * larger + 5
+
+
+def test_embedding_reads_every_text_once(spark):
+    """Few jobs however many passes, a fixed number of columns, vectors that tell topics
+    apart, and the same after saving and loading."""
+    topics = ["king queen crown throne court", "tree leaf root branch bark"]
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(topics[i % 2].split(), k=12)) + f" the rare{i % 300}") for i in range(1500)]
+    tagged = tokens.tagged(spark.createDataFrame([*rows, (-1, None)], "doc_id long, text string"), "doc_id", "text", "word")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    spark.sparkContext.setJobGroup("embedding", "fit")
+    model = models.fit_embedding(tagged, dimensions=16, passes=200)
+    assert len(jobs("embedding")) < 20
+    spark.sparkContext.setJobGroup("rest", "rest")
+    path = scratch_path(spark, "embedding")
+    models.save_embedding(model, path)
+    vectors = {r["doc_id"]: r["vector"] for r in models.embed(models.load_embedding(spark, path), tagged).collect()}
+    cosine = lambda a, b: vectors[a].dot(vectors[b]) / vectors[a].norm(2) / vectors[b].norm(2)
+    assert not vectors[-1].norm(2) and min(cosine(0, k) for k in range(2, 90, 2)) > max(cosine(0, k) for k in range(1, 90, 2))
+    words = {r["word"]: np.array(r["vector"]) for r in model.getVectors().collect()}
+    assert 308 <= len(words) <= 311 and all(abs(np.linalg.norm(v) - 1) < 0.01 for v in words.values())
