@@ -334,3 +334,29 @@ def test_embedding_reads_every_text_once(spark):
     assert not vectors[-1].norm(2) and min(cosine(0, k) for k in range(2, 90, 2)) > max(cosine(0, k) for k in range(1, 90, 2))
     words = {r["word"]: np.array(r["vector"]) for r in model.getVectors().collect()}
     assert 308 <= len(words) <= 311 and all(abs(np.linalg.norm(v) - 1) < 0.01 for v in words.values())
+
+
+def test_net_loss_has_the_gradient_of_its_sparse_rows():
+    """Against differences, with an empty row and a repeated column, and in two slices."""
+    rng = np.random.default_rng(5)
+    layers = [6, 4, 3, 2]
+    columns = np.array([0, 3, 5, 3, 1, 0], dtype=np.int32)
+    pack = {
+        "labels": np.array([1, 0, 1, 0], dtype=np.int8), "ends": np.array([0, 3, 3, 5, 6], dtype=np.int32), "columns": columns,
+        "counts": np.array([1, 2, 1, 4, 1, 3], dtype=np.float32),
+    }
+    weights = rng.normal(size=sum((a + 1) * b for a, b in zip(layers, layers[1:], strict=False)))
+    value, gradient = models.net_loss(weights, layers, pack)
+    assert np.allclose(models.net_loss(weights, layers, pack, cells=18)[1], gradient)
+    steps = np.eye(len(weights)) * 1e-6
+    slopes = [(models.net_loss(weights + s, layers, pack)[0] - models.net_loss(weights - s, layers, pack)[0]) / 2e-6 for s in steps]
+    assert value > 0 and np.allclose(slopes, gradient, atol=1e-6)
+
+
+def test_net_works_on_entries_and_agrees_with_spark(spark):
+    """The same weights as Spark ML's fit, which holds all rows as dense ones."""
+    train = models.with_terms(spark.createDataFrame(net_rows(200, 4), "doc_id long, label int, text string"), "text").cache()
+    ours = next(models.net_passes(train, 64, 1)).stages[1].weights.toArray()
+    hashed = models._hashing(64, "features").transform(train)
+    step = models.MultilayerPerceptronClassifier(layers=[64, *models.HIDDEN, 2], maxIter=models.ITERATIONS, seed=models.SEED)
+    assert np.allclose(ours, step.fit(hashed).weights.toArray(), atol=1e-6)
