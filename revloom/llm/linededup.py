@@ -9,6 +9,8 @@ everywhere but at its first place, so that no passage is lost altogether.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +28,18 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _plain(text: Column) -> Column:
+    """``text`` with tabs and the like as spaces; only a text that has any is rewritten."""
+    marks = "\t\r\f\u000b"
+    some = reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in marks])
+    return F.when(some, F.translate(text, marks, " " * len(marks))).otherwise(text)
+
+
 def exploded(keyed: DataFrame, text: str, site: str) -> DataFrame:
     """(row keys, line_no, l1, l2, site) of every line that is not blank."""
-    line = F.trim(F.translate(F.col("line"), "\t\r\f\u000b", "    "))
     return (
-        keyed.select("k0", "k1", "k2", F.col(site).cast("string").alias("site"), F.posexplode(_lines(F.col(text))).alias("line_no", "line"))
-        .withColumn("line", line)
+        keyed.select("k0", "k1", "k2", F.col(site).cast("string").alias("site"), F.posexplode(_lines(_plain(F.col(text)))).alias("line_no", "line"))
+        .withColumn("line", F.trim("line"))
         .where("line != ''")
         .select("k0", "k1", "k2", "line_no", "site", *[h.alias(f"l{i}") for i, h in enumerate(fingerprint(F.col("line")), 1)])
     )
@@ -87,7 +95,7 @@ def remove(df: DataFrame, text: str = "text", site: str = "source", key: str = "
     match = [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in keys]
     parts = _lines(F.col(text))
     left = F.array_join(F.filter(parts, lambda line, i: ~F.array_contains("gone", i)), "\n")
-    count = F.size(F.filter(parts, lambda line: F.trim(F.translate(line, "\t\r\f\u000b", "    ")) != ""))
+    count = F.size(F.filter(_lines(_plain(F.col(text))), lambda line: F.trim(line) != ""))
     names = [c for c in df.columns]
     return (
         keyed.join(gone, match[0] & match[1] & match[2], "left")

@@ -63,3 +63,17 @@ def test_long_text_and_null_key(spark):
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
     texts = [r.text for r in linededup.remove(df).collect()]
     assert sum(t.startswith("word") for t in texts) == 1 and all("own" in t for t in texts)
+
+
+def test_only_texts_with_odd_blanks_are_rewritten(spark):
+    """Lines are equal up to the kind of their blanks; no line is translated by itself."""
+    forms = ["on a site", "on\ta site", "\fon a\rsite", "on a\vsite \t", " on a site"]
+    rows = [(i, f"s{i}", f"own {i}\n{form}\n\t\n") for i, form in enumerate(forms)] + [(9, "s9", None)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = linededup.remove(df)
+    found = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in out.collect()}
+    assert found[0] == (rows[0][2], 2, 0) and found[9] == (None, 0, 0)
+    assert all(found[i] == (f"own {i}\n\t\n", 2, 1) for i in range(1, 5))
+    keyed = df.selectExpr("*", "doc_id AS k0", "0L AS k1", "0L AS k2")
+    plan = linededup.exploded(keyed, "text", "source")._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(text" in plan and "translate(line" not in plan
