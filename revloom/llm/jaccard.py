@@ -28,6 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revloom.llm.common import WordHasher, batches, components, free_name, mix, release, table, windows
 from revloom.session import written
@@ -198,6 +199,11 @@ def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS):
     return df.sparkSession.sparkContext.broadcast(merged)
 
 
+def _filter_bits(values: DataFrame) -> int:
+    """Sixteen bits for each value: few others pass, and none is lost. 16 MB at most."""
+    return 1 << min(27, max(20, (16 * values.count()).bit_length()))
+
+
 def _bit(values: np.ndarray, bits: int) -> np.ndarray:
     return (mix(values.astype(np.int64).view(np.uint64)) % np.uint64(bits)).astype(np.int64)
 
@@ -340,8 +346,7 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
         crossed = crossed.where(F.arrays_overlap(F.col("others_a")[i], F.col("others_b")[i]))
     crossed = written(crossed.select("a", "b"), "jaccard-crossed")
     wanted = crossed.select(F.col("a").alias("id")).union(crossed.select("b")).distinct()
-    # Sixteen bits for each text that is wanted: few others pass, and none is lost.
-    bits = 1 << min(27, max(20, (16 * wanted.count()).bit_length()))
+    bits = _filter_bits(wanted)
     known = bit_filter(wanted, "id", bits)
 
     def only_known(frames):
@@ -419,8 +424,20 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options)
     under one key all do."""
     linked = written(link(df, key, text, **options), "jaccard-linked").where(F.col(key).isNotNull())
     mine = free_name(df, "kept_key")
-    stay = linked.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(mine)).distinct()
-    kept = df.join(stay, df[key].cast("long") == F.col(mine), "left_semi")
+    gone = linked.where(F.col(key) != F.col("component_id")).select(F.col(key).cast("long").alias(mine)).distinct()
+    gone = written(gone, "jaccard-gone")
+    bits = _filter_bits(gone)
+    known = bit_filter(gone, mine, bits)
+
+    def listed(keys: pd.Series) -> pd.Series:
+        return pd.Series(passes(known.value, keys.to_numpy(), bits))
+
+    # Only texts that the filter takes for dropped ones are shuffled to make sure.
+    with_key = df.where(F.col(key).isNotNull())
+    unsure = F.pandas_udf(listed, T.BooleanType())(F.col(key).cast("long"))
+    kept = with_key.where(~unsure).union(
+        with_key.where(unsure).join(gone, F.col(key).cast("long") == F.col(mine), "left_anti")
+    )
     repeated = linked.groupBy(key).count().where("count > 1")
     if not repeated.isEmpty():
         kept = kept.dropDuplicates([key, text])

@@ -77,3 +77,24 @@ def test_a_repeated_key_is_one_document(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = {(r.doc_id, r.component_id) for r in jaccard.link(df).collect()}
     assert found == {(5, 1), (1, 1), (12, 1), (9, 9)}
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    """Only rows that a filter takes for dropped ones travel, also where no side is small."""
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, near), (2, near + " end"), (3, "x y z"), (None, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.keep_one(df)
+        plan = kept._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in plan]
+    for i, line in enumerate(plan):
+        if "Exchange hashpartitioning" in line:
+            end = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
+            below = "\n".join(plan[i:end])
+            assert "text#" not in below or "ArrowEvalPython" in below, below
