@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,12 +31,17 @@ from revloom.llm.common import free_name, release, table
 from revloom.session import written
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
-# Bounds of the training sample: documents, and candidates of each kind and label.
-SAMPLE_DOCS = 20_000
-SAMPLE_CANDIDATES = 2_000
+# All candidates of a kind and label together weigh at most as much as so many made-up ones,
+# so that rare kinds are not lost among others.
+MOST_WEIGHT = 2_000
 # Made-up examples of each kind and label.
 MADE_UP = 120
 TREES, DEPTH, RATE, BINS = 30, 3, 0.3, 16
+# Weights are whole numbers of this unit, so sums are the same in any order. They stay
+# below 2**53 for any number of candidates.
+UNIT = 1 << 30
+# Steps between two thresholds.
+STEPS = 1 << 12
 # Share of right candidates above a threshold, and how many it must be seen on.
 PRECISION, LEAST = 0.98, 20
 # Threshold of a kind with fewer than LEAST right ones to measure it on.
@@ -319,66 +324,111 @@ class Forest:
         return 0.5 * (1 + np.tanh(total / 2))
 
 
-def boost(x: np.ndarray, y: np.ndarray) -> Forest:
-    """Complete trees of depth ``DEPTH``, split where the logistic loss gains most."""
-    if not len(y) or y.min() == y.max():
-        return Forest([], 20.0 if len(y) and y.max() else -20.0)
-    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[:-1], method="lower")) for c in x.T]
-    bins = np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T, strict=True)], axis=1)
-    share = y.mean()
+def binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """How many cuts of its column lie below each number."""
+    return np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T, strict=True)], axis=1).astype(np.uint8)
+
+
+@dataclass
+class Stage:
+    """Trees grown so far over binned rows, and the levels of the next one."""
+
+    prior: float
+    trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    column: np.ndarray
+    bin: np.ndarray
+    level: int
+
+    def sums(self, bins: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Pull and weight of rows by node of the level, column and bin, in ``UNIT``."""
+        total = np.full(len(y), self.prior)
+        for column, cut, value in self.trees:
+            total += value[_followed(bins, column, cut, DEPTH)]
+        p = 0.5 * (1 + np.tanh(total / 2))
+        of_row = np.rint(weight * (y - p)), np.rint(weight * np.maximum(p * (1 - p), 1e-9))
+        nodes = 2**self.level
+        at = (_followed(bins, self.column, self.bin, self.level) - (nodes - 1)) * (BINS + 1)
+        out = np.zeros((nodes, bins.shape[1], BINS + 1, 2))
+        for c in range(bins.shape[1]):
+            for i, values in enumerate(of_row):
+                out[:, c, :, i] = np.bincount(at + bins[:, c], weights=values, minlength=nodes * (BINS + 1)).reshape(nodes, -1)
+        return out
+
+
+def _followed(bins: np.ndarray, column: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
+    """Node of each row after so many levels of a tree over bins."""
+    node, rows = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
+    for _ in range(levels):
+        node = 2 * node + 1 + (bins[rows, column[node]] > cut[node])
+    return node
+
+
+def grown(cuts: list[np.ndarray], share: float, sums: Callable[[Stage], np.ndarray]) -> Forest:
+    """Complete trees of depth ``DEPTH``, split where the logistic loss gains most.
+
+    ``share``: of the right ones. ``sums``: ``Stage.sums`` over all rows; once a level.
+    """
+    if share in (0, 1):
+        return Forest([], 20.0 if share else -20.0)
     forest = Forest([], float(np.log(share / (1 - share))))
-    total = np.full(len(y), forest.prior)
-    inner = 2**DEPTH - 1
+    inner, trees = 2**DEPTH - 1, []
+    is_cut = np.arange(BINS)[None, :] < np.array([len(c) for c in cuts])[:, None]
     for _ in range(TREES):
-        p = 0.5 * (1 + np.tanh(total / 2))
-        pull, weight = y - p, np.maximum(p * (1 - p), 1e-9)
-        column, cut, value = np.zeros(2 * inner + 1, dtype=np.int64), np.full(2 * inner + 1, np.inf), np.zeros(2 * inner + 1)
-        node = np.zeros(len(y), dtype=np.int64)
-        for k in range(inner):
-            mine = np.flatnonzero(node == k)
-            best = (1e-6, 0, np.inf, None)
-            g, h = pull[mine].sum(), weight[mine].sum()
-            for c, points in enumerate(cuts):
-                own = bins[mine, c]
-                gl = np.cumsum(np.bincount(own, weights=pull[mine], minlength=len(points) + 1))[: len(points)]
-                hl = np.cumsum(np.bincount(own, weights=weight[mine], minlength=len(points) + 1))[: len(points)]
-                gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
-                at = int(np.argmax(gain)) if len(gain) else 0
-                if len(gain) and gain[at] > best[0]:
-                    best = (float(gain[at]), c, points[at], None)
-            column[k], cut[k] = best[1], best[2]
-            node[mine] = 2 * k + 1 + (x[mine, best[1]] > best[2])
-        for k in range(inner, 2 * inner + 1):
-            mine = node == k
-            value[k] = RATE * pull[mine].sum() / (weight[mine].sum() + 1) if mine.any() else 0.0
-        total += value[node]
+        column, value = np.zeros(2 * inner + 1, dtype=np.int64), np.zeros(2 * inner + 1)
+        cut, last = np.full(2 * inner + 1, np.inf), np.full(2 * inner + 1, BINS)
+        for level in range(DEPTH):
+            found = sums(Stage(forest.prior, trees, column, last, level)) / UNIT
+            for k, of_node in enumerate(found, 2**level - 1):
+                left = np.cumsum(of_node, axis=1)
+                g, h = left[0, -1]
+                gl, hl = left[:, :BINS, 0], left[:, :BINS, 1]
+                gain = np.where(is_cut, gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1), -np.inf)
+                c, at = np.unravel_index(int(np.argmax(gain)), gain.shape)
+                if gain[c, at] > 1e-6:
+                    column[k], last[k], cut[k] = c, at, cuts[c][at]
+                    g_left, h_left = gl[c, at], hl[c, at]
+                else:
+                    g_left, h_left = g, h
+                value[2 * k + 1] = RATE * g_left / (h_left + 1)
+                value[2 * k + 2] = RATE * (g - g_left) / (h - h_left + 1)
+        trees.append((column, last, value))
         forest.trees.append((column, cut, value))
     return forest
 
 
-def calibrated(ratings: np.ndarray, right: np.ndarray, weight: np.ndarray | None = None) -> float:
+def boost(x: np.ndarray, y: np.ndarray) -> Forest:
+    """``grown`` on rows at hand, all of one weight."""
+    if not len(y):
+        return Forest([], -20.0)
+    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[:-1], method="lower")) for c in x.T]
+    bins, weight = binned(x, cuts), np.full(len(y), float(UNIT))
+    return grown(cuts, float(y.mean()), lambda stage: stage.sums(bins, y, weight))
+
+
+def calibrated(ratings: np.ndarray, right: np.ndarray, weight: np.ndarray | None = None, seen: np.ndarray | None = None) -> float:
     """Lowest rating from which on the share of right ones is at least ``PRECISION``.
 
-    Infinite if no rating has ``LEAST`` candidates above it that are. ``weight`` is
-    how many candidates each stands for.
+    Infinite if no rating has ``LEAST`` candidates above it that are. ``seen`` is how
+    many candidates each stands for, ``weight`` how many it counts as in the share.
     """
     order = np.argsort(-ratings, kind="stable")
     weight = np.ones(len(ratings)) if weight is None else weight
+    seen = np.ones(len(ratings)) if seen is None else seen
     share = np.cumsum((right * weight)[order]) / np.cumsum(weight[order])
     # Only the last of equal ratings is a place to cut.
     ends = np.append(ratings[order][1:] != ratings[order][:-1], True) if len(order) else np.zeros(0, bool)
-    good = np.flatnonzero((share >= PRECISION) & ends & (np.arange(1, len(order) + 1) >= LEAST))
+    good = np.flatnonzero((share >= PRECISION) & ends & (np.cumsum(seen[order]) >= LEAST))
     return float(ratings[order][good[-1]]) if len(good) else float("inf")
 
 
-def threshold(ratings: np.ndarray, right: np.ndarray, weight: np.ndarray) -> float:
+def threshold(ratings: np.ndarray, right: np.ndarray, seen: np.ndarray) -> float:
     """``calibrated``, but ``FALLBACK`` where there are too few right ones to tell, and
     never below an even chance. The right ones, many of them rewritten or made up, count
     at most as much as the wrong ones together."""
-    if right.sum() < LEAST:
+    if (seen * right).sum() < LEAST:
         return FALLBACK
-    most = (weight * (1 - right)).sum() / (weight * right).sum()
-    return max(0.5, calibrated(ratings, right, np.where(right > 0, weight * min(1.0, most), weight)))
+    most = (seen * (1 - right)).sum() / (seen * right).sum()
+    return max(0.5, calibrated(ratings, right, np.where(right > 0, seen * min(1.0, most), seen), seen))
 
 
 @dataclass
@@ -401,20 +451,8 @@ class Model:
         return base, sorted(added, key=lambda c: (KINDS.index(c[0]), c[1]))
 
 
-def learn(texts: DataFrame, text: str = "text") -> Model:
-    """Fit on the candidates of the ``SAMPLE_DOCS`` texts with the smallest hashes.
-
-    Only texts with a digit or an "@" are drawn, equal texts once. Of each kind and
-    label the ``SAMPLE_CANDIDATES`` with the smallest hashes count, so that rare kinds
-    are not lost among others. Half of the sample grows the trees, the other half sets
-    the thresholds; so do the made-up examples. Without a text nothing is added.
-    """
-    hashed = texts.select(F.xxhash64(text).alias("order"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    # Hashes are chosen first, so that no text is sorted.
-    last = hashed.select("order").distinct().orderBy("order").limit(SAMPLE_DOCS).agg(F.max("order")).head()[0]
-    if last is None:
-        return Model(Forest([], -20.0), dict.fromkeys(KINDS, float("inf")))
-    chosen = hashed.where(F.col("order") <= F.lit(last))
+def described(texts: DataFrame, text: str) -> DataFrame:
+    """(order, n, x, y) of the candidates with a label in all different texts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -426,22 +464,97 @@ def learn(texts: DataFrame, text: str = "text") -> Model:
                 rows += [(order, -1 - n, x, True) for n, x in enumerate(other_forms(t, base, int(order)))]
             yield pd.DataFrame(rows, columns=["order", "n", "x", "y"])
 
-    rows = written(chosen.mapInPandas(run, "order long, n int, x array<double>, y boolean").distinct(), "pii-candidates")
-    # A hash of both, so that a text with very many candidates is not all there is.
-    group = [F.col("x")[0], F.col("y")]
-    place = F.row_number().over(W.partitionBy(*group).orderBy(F.xxhash64("order", "n"), "order", "n"))
-    sample = rows.withColumn("place", place).where(F.col("place") <= SAMPLE_CANDIDATES).collect()
-    of_group = {(r["k"], r["y"]): r["count"] for r in rows.groupBy(group[0].alias("k"), "y").count().collect()}
-    invented = made_up()
-    x = np.array([r["x"] for r in sample] + [x for x, _ in invented])
-    y = np.array([float(r["y"]) for r in sample] + [float(y) for _, y in invented])
-    grows = np.array([r["order"] % 2 == 0 for r in sample] + [i % 2 == 0 for i in range(len(invented))])
-    # How many each one stands for, so that shares are those of the documents.
-    weight = np.array([max(1.0, of_group[r["x"][0], r["y"]] / SAMPLE_CANDIDATES) for r in sample] + [1.0] * len(invented))
-    forest = boost(x[grows], y[grows])
-    ratings, right, weight = forest.rate(x[~grows]), y[~grows], weight[~grows]
-    of_kind = {k: x[~grows, 0] == i for i, k in enumerate(KINDS)}
-    return Model(forest, {k: threshold(ratings[m], right[m], weight[m]) for k, m in of_kind.items()} | {"ip": float("inf")})
+    hashed = texts.select(F.xxhash64(text).alias("order"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    # The hash and the number tell what is equal: features need not be compared.
+    found = hashed.mapInPandas(run, "order long, n int, x array<double>, y boolean")
+    return found.dropDuplicates(["order", "n"])
+
+
+def weighted(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``weight`` in ``UNIT``: one each, less where a kind and label have
+    more than ``MOST_WEIGHT`` that are not made up."""
+    group = [F.col("x")[0].alias("kind"), "y", "made"]
+    full = F.when(F.col("made"), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.lit(float(MOST_WEIGHT)) / F.col("count")))
+    of_group = rows.groupBy(*group).count().select("kind", "y", "made", F.rint(full * UNIT).cast("long").alias("weight"))
+    # Ten kinds and labels at most, made up or not.
+    return rows.join(F.broadcast(of_group), (F.col("x")[0] == F.col("kind")) & (rows["y"] == of_group["y"]) & (rows["made"] == of_group["made"])).select(
+        rows["*"], "weight"
+    )
+
+
+def quantiles(rows: DataFrame) -> list[np.ndarray]:
+    """The cuts of every column: ``BINS`` quantiles of the weight, each once."""
+    values = rows.select("weight", F.posexplode("x").alias("column", "value")).groupBy("column", "value").agg(F.sum("weight").alias("weight"))
+    up_to = F.sum("weight").over(W.partitionBy("column").orderBy("value"))
+    every = F.sum("weight").over(W.partitionBy("column"))
+    ranked = values.select("column", "value", "weight", up_to.alias("end"), every.alias("total"))
+    # The first multiple of a quantile at or after the start of a value, if before its end.
+    first = F.expr(f"(({BINS} * (end - weight) + total - 1) div total) * total")
+    found = ranked.where(first < BINS * F.col("end")).select("column", "value").collect()
+    columns = max(r["column"] for r in found) + 1
+    return [np.array(sorted(r["value"] for r in found if r["column"] == c)) for c in range(columns)]
+
+
+def forest_of(rows: DataFrame) -> Forest:
+    """``grown`` on all ``rows`` (x, y, weight); each level is a sum over the tasks."""
+    cuts = quantiles(rows)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                bins = binned(np.stack(frame["x"].to_list()), cuts)
+                own = [bins.tobytes(), frame["y"].to_numpy(dtype=np.uint8).tobytes(), frame["weight"].to_numpy(dtype=np.int64).tobytes()]
+                yield pd.DataFrame([own], columns=["bins", "y", "weight"])
+
+    blocks = written(rows.select("x", "y", "weight").mapInPandas(run, "bins binary, y binary, weight binary"), "pii-binned").rdd
+    right, total = rows.agg(F.sum(F.when(F.col("y"), F.col("weight")).otherwise(0)), F.sum("weight")).head()
+
+    def sums(stage: Stage) -> np.ndarray:
+        def add(known, row):
+            y = np.frombuffer(row["y"], dtype=np.uint8)
+            bins = np.frombuffer(row["bins"], dtype=np.uint8).reshape(len(y), -1)
+            return known + stage.sums(bins, y.astype(float), np.frombuffer(row["weight"], dtype=np.int64).astype(float))
+
+        return blocks.treeAggregate(np.zeros((2**stage.level, len(cuts), BINS + 1, 2)), add, np.add)
+
+    return grown(cuts, right / total, sums)
+
+
+def thresholds(rows: DataFrame, forest: Forest) -> dict[str, float]:
+    """``threshold`` of each kind on all ``rows`` (x, y), in steps of one in ``STEPS``."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                x = np.stack(frame["x"].to_list())
+                step = np.floor(forest.rate(x) * STEPS).astype(np.int64)
+                yield pd.DataFrame({"kind": x[:, 0].astype(np.int64), "step": step, "y": frame["y"]})
+
+    found = rows.select("x", "y").mapInPandas(run, "kind long, step long, y boolean").groupBy("kind", "step", "y").count().collect()
+    out = {}
+    for i, kind in enumerate(KINDS):
+        mine = sorted((r["step"], r["y"], r["count"]) for r in found if r["kind"] == i)
+        step, right, seen = np.array(mine, dtype=float).reshape(-1, 3).T
+        out[kind] = threshold(step / STEPS, right, seen)
+    return out | {"ip": float("inf")}
+
+
+def learn(texts: DataFrame, text: str = "text") -> Model:
+    """Fit on the candidates of all texts, equal texts once, and the made-up examples.
+
+    Half of the texts, by hash, grow the trees, the other half sets the thresholds; so
+    do the made-up examples. All of a kind and label weigh at most ``MOST_WEIGHT`` for
+    the trees; thresholds see them as they are. Without a text nothing is added.
+    """
+    if texts.where(F.col(text).rlike("[0-9@]")).isEmpty():
+        return Model(Forest([], -20.0), dict.fromkeys(KINDS, float("inf")))
+    found = described(texts, text).select("x", "y", (F.col("order") % 2 == 0).alias("grows"), F.lit(False).alias("made"))
+    invented = [(x, y, i % 2 == 0, True) for i, (x, y) in enumerate(made_up())]
+    extra = texts.sparkSession.createDataFrame(invented, "x array<double>, y boolean, grows boolean, made boolean")
+    rows = written(found.unionByName(extra.coalesce(1)), "pii-candidates")
+    grows = written(weighted(rows).where("grows"), "pii-growing")
+    forest = forest_of(grows)
+    return Model(forest, thresholds(rows.where("not grows"), forest))
 
 
 def find(df: DataFrame, model: Model, text: str = "text") -> DataFrame:

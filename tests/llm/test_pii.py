@@ -161,3 +161,26 @@ def test_long_secrets_go_as_a_whole(model):
     for run in ("ab12cd34" * 60, "abcdefghijklmnopqrstuvwxyz" * 2 + "7f3a9b"):
         text = f'x token = "{run}" y'
         assert pii.candidates(text)[-1] == ("secret", 11, 11 + len(run))
+
+
+def _parts(found):
+    return [[a.tolist() for a in tree] for tree in found.forest.trees], found.forest.prior, found.thresholds
+
+
+def test_every_candidate_counts(spark):
+    """What only texts behind the 20,000 smallest hashes show is learnt as well."""
+    fill = [f"number {i} here" for i in range(22_000)]
+    other = [f'x token == "{hashlib.sha1(str(i).encode()).hexdigest()}" y' for i in range(3_000)]
+    df = spark.createDataFrame([(t,) for t in fill + other], "text string").selectExpr("text", "xxhash64(text) as h")
+    hashes = {r.text: r.h for r in df.collect()}
+    last = sorted(hashes[t] for t in fill)[20_000]
+    late = [t for t in other if hashes[t] > last]
+    assert len(late) > 150
+    rows = spark.createDataFrame([(t,) for t in fill + late], "text string")
+    found = pii.learn(rows)
+    assert all(found(t)[1] == [] for t in late)
+
+
+def test_a_model_does_not_depend_on_partitions_or_copies(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("text")
+    assert _parts(pii.learn(df.repartition(1))) == _parts(pii.learn(df.union(df).repartition(9)))
