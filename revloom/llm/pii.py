@@ -40,7 +40,9 @@ TREES, DEPTH, RATE, BINS = 30, 3, 0.3, 16
 # Weights are whole numbers of this unit, so sums are the same in any order. They stay
 # below 2**53 for any number of candidates.
 UNIT = 1 << 30
-# Steps between two thresholds.
+# Candidates that one task adds up.
+TASK = 50_000
+# Thresholds are multiples of one in so many.
 STEPS = 1 << 12
 # Share of right candidates above a threshold, and how many it must be seen on.
 PRECISION, LEAST = 0.98, 20
@@ -506,8 +508,10 @@ def forest_of(rows: DataFrame) -> Forest:
                 own = [bins.tobytes(), frame["y"].to_numpy(dtype=np.uint8).tobytes(), frame["weight"].to_numpy(dtype=np.int64).tobytes()]
                 yield pd.DataFrame([own], columns=["bins", "y", "weight"])
 
-    blocks = written(rows.select("x", "y", "weight").mapInPandas(run, "bins binary, y binary, weight binary"), "pii-binned").rdd
-    right, total = rows.agg(F.sum(F.when(F.col("y"), F.col("weight")).otherwise(0)), F.sum("weight")).head()
+    blocks = written(rows.select("x", "y", "weight").mapInPandas(run, "bins binary, y binary, weight binary"), "pii-binned")
+    right, total, number = rows.agg(F.sum(F.when(F.col("y"), F.col("weight")).otherwise(0)), F.sum("weight"), F.count("*")).head()
+    # A task does enough in each of the many sums.
+    blocks = blocks.coalesce(-(-number // TASK)).rdd
 
     def sums(stage: Stage) -> np.ndarray:
         def add(known, row):
