@@ -19,6 +19,7 @@ import random
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,9 @@ TREES, DEPTH, RATE, BINS = 30, 3, 0.3, 16
 UNIT = 1 << 30
 # Candidates that one task adds up.
 TASK = 50_000
+# Candidates whose features a worker holds as Python numbers at once, about 1 kB each:
+# a table of numbers in a text has one in ten characters.
+PIECE = 2_000
 # Thresholds are multiples of one in so many.
 STEPS = 1 << 12
 # Share of right candidates above a threshold, and how many it must be seen on.
@@ -444,7 +448,9 @@ class Model:
         proposed = [c for c in candidates(text) if not any(c[1] < e and s < c[2] for _, s, e in base)]
         if not proposed:
             return base, []
-        ratings = self.forest.rate(np.array([describe(text, *c) for c in proposed]))
+        ratings = np.concatenate(
+            [self.forest.rate(np.array([describe(text, *c) for c in proposed[at : at + PIECE]])) for at in range(0, len(proposed), PIECE)]
+        )
         added: list[tuple[str, int, int]] = []
         for i in np.argsort(-ratings, kind="stable"):
             kind, start, end = proposed[i]
@@ -453,18 +459,25 @@ class Model:
         return base, sorted(added, key=lambda c: (KINDS.index(c[0]), c[1]))
 
 
+def examples(order: int, text: str) -> Iterator[tuple[int, int, list[float], bool]]:
+    """(order, n, x, y) of the candidates with a label in a text."""
+    base = base_spans(text)
+    for n, c in enumerate(candidates(text)):
+        y = label(text, *c, base)
+        if y is not None:
+            yield order, n, describe(text, *c), y
+    for n, x in enumerate(other_forms(text, base, int(order))):
+        yield order, -1 - n, x, True
+
+
 def described(texts: DataFrame, text: str) -> DataFrame:
     """(order, n, x, y) of the candidates with a label in all different texts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for order, t in zip(frame["order"], frame["text"], strict=True):
-                base = base_spans(t)
-                marked = [(n, c, label(t, *c, base)) for n, c in enumerate(candidates(t))]
-                rows += [(order, n, describe(t, *c), y) for n, c, y in marked if y is not None]
-                rows += [(order, -1 - n, x, True) for n, x in enumerate(other_forms(t, base, int(order)))]
-            yield pd.DataFrame(rows, columns=["order", "n", "x", "y"])
+        rows = (row for frame in frames for pair in zip(frame["order"], frame["text"], strict=True) for row in examples(*pair))
+        while piece := list(islice(rows, PIECE)):
+            yield pd.DataFrame(piece, columns=["order", "n", "x", "y"])
+        release()
 
     hashed = texts.select(F.xxhash64(text).alias("order"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
     # The hash and the number tell what is equal: features need not be compared.

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from revloom.llm import pii
@@ -184,3 +186,30 @@ def test_every_candidate_counts(spark):
 def test_a_model_does_not_depend_on_partitions_or_copies(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").select("text")
     assert _parts(pii.learn(df.repartition(1))) == _parts(pii.learn(df.union(df).repartition(9)))
+
+
+def _peak(run):
+    """(result, MB that Python held at most on the way)."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_features_of_a_dense_text_are_held_in_pieces(spark, monkeypatch):
+    """A text of numbers has a candidate in ten characters, and each about 1 kB of features."""
+    text = "".join(f"{n % 90 + 10} {n % 80 + 11} {n % 70 + 12}; " for n in range(20_000))
+    taken = []
+    df = spark.createDataFrame([(text,)], "text string")
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, run, schema: taken.append(run) or spark.createDataFrame([], schema))
+    pii.described(df, "text")
+    frame = pd.DataFrame({"order": [7], "text": [text]})
+    sizes, learnt = _peak(lambda: [len(part) for part in taken[0](iter([frame]))])
+    assert sum(sizes) == 20_000 and max(sizes) <= 2_000 and learnt < 15
+    forest = pii.boost(*map(np.array, zip(*pii.made_up(), strict=True)))
+    model = pii.Model(forest, dict.fromkeys(pii.KINDS, 0.5))
+    found, rated = _peak(lambda: model(text))
+    assert rated < 15
+    monkeypatch.setattr(pii, "PIECE", 1 << 30, raising=False)
+    assert found == model(text)
