@@ -288,6 +288,20 @@ def test_document_vector_is_the_maximum(spark):
     assert far == sorted(far, reverse=True) and far[2] < 0.2 * np.linalg.norm(last)
 
 
+def test_document_vector_follows_the_pulls_of_words_and_noise():
+    """As the steps are written down; rows may come as single-precision numbers."""
+    rng = np.random.default_rng(4)
+    words, noise = rng.normal(size=(7, 5)).astype(np.float32), rng.normal(size=(35, 5)).astype(np.float32)
+    counts, vector = np.arange(1, 8), np.zeros(5)
+    weight, w, n = counts / counts.sum(), words.astype(float), noise.astype(float)
+    bound = models.VECTOR_L2 + 0.25 * (weight @ (w**2).sum(axis=1) + models.NOISE * (n**2).sum(axis=1).mean())
+    for _ in range(12):
+        real, false = weight / (1 + np.exp(w @ vector)), models.NOISE / len(n) / (1 + np.exp(-(n @ vector)))
+        vector = vector + (real @ w - false @ n - models.VECTOR_L2 * vector) / bound
+    found = models.document_vector(counts, words, noise, 12)
+    assert found.dtype == np.float64 and np.abs(found - vector).max() < 1e-12
+
+
 def test_uneven_rows_can_be_read_apart(spark):
     rows = spark.range(0, 40_000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
     groups = []
