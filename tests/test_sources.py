@@ -1,9 +1,11 @@
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from revloom import session
 from revloom.schemas import LEDGER
 from revloom.sources import ledger, links, pages, responses, store
 from revloom.plans import corpus
@@ -299,3 +301,22 @@ def test_a_shard_has_a_bounded_number_of_files(spark, tmp_path):
     more = spark.createDataFrame([(7, 2, "u"), (8, 0, "v")], "id long, shard int, term string")
     store.write_features(more, str(path), files=3)
     assert store.read_features(spark, str(path)).count() == 20_001
+
+
+def test_an_intake_leaves_no_intermediate_tables(spark, tmp_path, monkeypatch):
+    """What a batch writes for itself is gone when it ends; results and state stay."""
+    paths, make = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: paths.append(make(spark, name)) or paths[-1])
+    kept = session.written(spark.range(3), "kept")
+    with session.short_lived(spark):
+        assert session.written(spark.range(3), "gone").count() == 3
+    rows = corpus.as_revisions(
+        spark.createDataFrame([("P", i, f"text {i}. ", ["x"]) for i in range(6)], "page string, rev long, content string, tags array<string>")
+    )
+    nested = pages.nest_pages(rows.withColumn("_n", -F.col("rev")).drop("rev"), ["_n"], 2).localCheckpoint()
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (0, 4, 2):
+        store.write_pages(nested.where(F.col("offset") == part), source)
+        run_intake(spark, source, target, str(tmp_path / "offsets"), one_page_per_file=False)
+    assert len(paths) > 8 and [os.path.exists(p.removeprefix("file:")) for p in paths] == [True, *[False] * (len(paths) - 1)]
+    assert read_prepared(spark, target).count() == 6 and kept.count() == 3
